@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 # Names web servers use for the encodings handled without Python.
@@ -17,7 +17,7 @@ _C1 = "".join(chr(c) for c in range(0x80, 0xA0))
 _CP1252 = "".join(bytes([c]).decode("cp1252", "replace") for c in range(0x80, 0xA0))
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def _decode_other(body: pd.Series, encoding: pd.Series) -> pd.Series:
     def one(raw: bytes | None, name: str | None) -> str | None:
         if raw is None:

@@ -11,6 +11,7 @@ from ..functions.text import is_blank
 from ..operators.requests import validate_queries
 from ..operators.results import batch_summary, merge_results, query_stats
 from ..operators.search import search_batch
+from ..session import cut_lineage
 
 
 class BatchReport(NamedTuple):
@@ -27,7 +28,8 @@ def search_report(
     checked = validate_queries(queries, mode)
     if mode == "fail":
         checked = checked.withColumn("error", F.lit(None).cast("string"))
-    hits = search_batch(checked.filter(is_blank(F.col("error"))), corpus, k)
+    # The ranked rows feed all three reports. Written once, so the corpus is searched once.
+    hits = cut_lineage(search_batch(checked.filter(is_blank(F.col("error"))), corpus, k))
     merged = merge_results(hits, dedupe)
     outcomes = checked.select("query_idx", "query", "error")
     return BatchReport(query_stats(outcomes, hits), merged, batch_summary(outcomes, merged))

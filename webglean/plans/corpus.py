@@ -11,6 +11,7 @@ from ..operators.pages import MAX_CHARS, extract_articles
 from ..operators.requests import validate_queries
 from ..operators.research import research, research_summary
 from ..operators.search import search_batch
+from ..session import cut_lineage
 
 
 class ResearchReport(NamedTuple):
@@ -25,7 +26,8 @@ def research_report(
 ) -> ResearchReport:
     """``topics(query_idx, query)``: search each, fetch what was found, join the text back."""
     checked = validate_queries(topics)
-    hits = search_batch(checked, corpus, k).withColumnRenamed("query_idx", "topic")
+    # Used for the URLs, the citations and the counts. Written once, so the corpus is searched once.
+    hits = cut_lineage(search_batch(checked, corpus, k)).withColumnRenamed("query_idx", "topic")
     articles = None
     if fetch_full and responses is not None:
         urls = hits.select("url", F.col("rank").alias("position"))
