@@ -9,9 +9,10 @@ from webglean.functions.html import (
     block_text, extract_title, pick_root, strip_hidden, strip_noise, strip_tags,
 )
 from webglean.functions.text import truncate_text
-from webglean.operators import pages, requests, research, results, search, traffic
+from webglean.operators import pages, requests, results, search, traffic
 from webglean.plans.answers import answer_requests
 from webglean.plans.batch import search_report
+from webglean.plans.corpus import ResearchReport, research_report
 from webglean.sources.payloads import parse_payloads
 from webglean.sources.reports import report_json
 from webglean.sources.tables import load_queries, load_responses
@@ -145,23 +146,21 @@ def o18_fetch_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _research(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _research(spark: SparkSession, sf_dir: str) -> ResearchReport:
     page_text = pages.extract_text(table(spark, sf_dir, "pages", spread=True), "html", None)
     corpus = page_text.select(
         F.col("page_id").alias("doc_id"), "text", "url",
         F.when(F.col("url").like("https%"), F.col("title")).alias("title"),
         F.lit("2024").alias("publishedDate"),
     )
-    hits = search.search_batch(inputs.valid_queries(spark, sf_dir), corpus, 5)
-    hits = hits.withColumnRenamed("query_idx", "topic")
-    articles = pages.extract_articles(
-        inputs.page_urls(spark, sf_dir), inputs.responses(spark, sf_dir), inputs.robots(spark, sf_dir)
+    return research_report(
+        inputs.valid_queries(spark, sf_dir), corpus, inputs.responses(spark, sf_dir),
+        inputs.robots(spark, sf_dir), k=5,
     )
-    return research.research(hits, articles)
 
 
 def o19_research(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _research(spark, sf_dir)
+    return _research(spark, sf_dir).sources
 
 
 def o20_merge_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,8 +205,7 @@ def o24_fetch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def o25_research_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topics = inputs.valid_queries(spark, sf_dir).select(F.col("query_idx").alias("topic"))
-    return research.research_summary(topics, _research(spark, sf_dir))
+    return _research(spark, sf_dir).summary
 
 
 def o26_nest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +218,9 @@ def o26_nest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def o27_parse_robots(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = pages.parse_robots(inputs.robots(spark, sf_dir))
-    return rules.select("scheme", "authority", F.posexplode("rules").alias("rule_no", "rule")).select(
+    # "outer" and the filter behind it: a plain explode would push a size test below the parsing.
+    listed = rules.select("scheme", "authority", F.posexplode_outer("rules").alias("rule_no", "rule"))
+    return listed.filter(F.col("rule_no").isNotNull()).select(
         "scheme", "authority", "rule_no", F.col("rule.allow").alias("allow"), F.col("rule.path").alias("path")
     )
 

@@ -7,7 +7,7 @@ own name ends at the first close, and a nested block (``li`` holding ``p``) is r
 
 from __future__ import annotations
 
-from html.entities import html5
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
@@ -40,12 +40,10 @@ ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 
 _CUT = "\x01"
 _KEY = "\x02"
-_COMMON = ("amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;", "copy;", "hellip;")
-# One literal for the whole table; the common names come first because lookups scan in order.
-_ENTITIES = _CUT.join(
-    f"&{name}{_KEY}{html5[name]}"
-    for name in (*_COMMON, *(n for n in html5 if n.endswith(";") and n not in _COMMON))
-)
+_COMMON = ("amp", "lt", "gt", "quot", "nbsp")
+# The HTML 4 names and "apos", as one literal; common names come first because lookups scan in order.
+_CODE_POINTS = {name: name2codepoint[name] for name in _COMMON} | name2codepoint | {"apos": 39}
+_ENTITIES = _CUT.join(f"&{name};{_KEY}{chr(point)}" for name, point in _CODE_POINTS.items())
 
 
 def _code_point(entity: Column) -> Column:

@@ -31,7 +31,9 @@ def parse_robots(robots: DataFrame, user_agent: str = DEFAULT_USER_AGENT) -> Dat
     """``(scheme, authority, rules)``: the ordered rules that apply to the agent, per host.
 
     ``robots(scheme, authority, status, body)``, one row per host. An answer other than 200 means no
-    rules, as does a host without a row. Works inside each row, without a shuffle.
+    rules, as does a host without a row; ``rules`` is null where no group applies. Works inside each
+    row, without a shuffle. Filter on ``rules`` only behind a join: a filter right here would be
+    pushed below the parsing steps and repeat them.
     """
     return (
         robots.filter(F.col("status") == 200)
@@ -47,7 +49,6 @@ def parse_robots(robots: DataFrame, user_agent: str = DEFAULT_USER_AGENT) -> Dat
             "authority",
             rules_of.rules_for(F.col("_groups"), user_agent).alias("rules"),
         )
-        .filter(F.col("rules").isNotNull())
     )
 
 

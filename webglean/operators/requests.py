@@ -107,15 +107,11 @@ def normalize_requests(requests: DataFrame) -> DataFrame:
         F.when(is_form, urls.form_pairs(F.col("body"))).alias("_form"),
         F.when(~is_form, F.from_json(F.col("body"), "MAP<STRING,VARIANT>")).alias("_json"),
     )
-    names = dict.fromkeys((*QUERY_NAMES, *LIMIT_NAMES, *EXCLUDE_NAMES))
     return read.select(
         "req_id",
-        *[_field(name).alias(f"_{name}") for name in names],
-    ).select(
-        "req_id",
-        F.coalesce(*[F.col(f"_{n}") for n in QUERY_NAMES]).alias("_q"),
-        F.coalesce(*[F.col(f"_{n}") for n in LIMIT_NAMES]).alias("_max"),
-        F.coalesce(*[F.col(f"_{n}") for n in EXCLUDE_NAMES]).alias("_exclude"),
+        _first_given(QUERY_NAMES).alias("_q"),
+        _first_given(LIMIT_NAMES).alias("_max"),
+        _first_given(EXCLUDE_NAMES).alias("_exclude"),
     ).select(
         "req_id",
         _text_of("_q").alias("query"),
@@ -128,18 +124,20 @@ def normalize_requests(requests: DataFrame) -> DataFrame:
     )
 
 
-def _field(name: str) -> Column:
-    """``struct<text, json>`` of one parameter, or null when it has no usable value."""
-    value = F.try_element_at("_json", F.lit(name))
+def _first_given(names: tuple[str, ...]) -> Column:
+    """``struct<text, json>`` of the first name that has a usable value, or null."""
+    fields = F.transform(F.array(*[F.lit(n) for n in names]), _field)
+    return F.get(F.filter(fields, lambda f: f.isNotNull()), F.lit(0))
+
+
+def _field(name: Column) -> Column:
+    value = F.try_element_at("_json", name)
     raw = F.to_json(value)
-    given = value.isNotNull() & ~F.is_variant_null(value) & (raw != '""')
+    given = F.coalesce(~F.is_variant_null(value) & (raw != '""'), F.lit(False))
     text = F.coalesce(urls.first_value(F.col("_form"), name), urls.first_value(F.col("_query"), name))
     as_json = F.struct(F.lit(None).cast("string").alias("text"), value.alias("json"))
     as_text = F.struct(text.alias("text"), F.when(F.lit(False), value).alias("json"))
-    return (
-        F.when(F.coalesce(given, F.lit(False)), F.when(raw != "[]", as_json))
-        .when(text.isNotNull(), as_text)
-    )
+    return F.when(given, F.when(raw != "[]", as_json)).when(text.isNotNull(), as_text)
 
 
 def _text_of(column: str) -> Column:

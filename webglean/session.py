@@ -17,6 +17,7 @@ def local_session(cpus: int | str = 8, app: str = "webglean") -> SparkSession:
         .config("spark.driver.memory", "20g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
