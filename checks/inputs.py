@@ -162,7 +162,7 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "purchase", F.lit("application/x-www-form-urlencoded"))
         .when(kind == "signup", F.lit("text/plain"))
     )
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events", spread=True).select(
         F.col("event_id").alias("req_id"), url.alias("url"), content_type.alias("content_type"),
         body.alias("body"),
     )
@@ -184,6 +184,6 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind.isin("purchase", "error"), F.array(
             F.concat(F.lit('{"results":[5,{"url":"x'), _k(), F.lit('"}]}')), F.lit('{"results":[{"url":"late"}]}')))
     )
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events", spread=True).select(
         F.col("event_id").alias("query_idx"), structured.alias("structured"), content.alias("content")
     )

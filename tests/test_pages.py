@@ -233,8 +233,12 @@ def test_url_parts(spark):
     assert tuple(got[1]) == ("", "", "", "", "")
 
 
-def test_page_bodies_are_not_shuffled(spark):
+@pytest.mark.parametrize("rows", [1000, 0])
+def test_page_bodies_are_not_shuffled(spark, monkeypatch, rows):
+    monkeypatch.setattr(pages, "BROADCAST_ROWS", rows)
     asked = spark.createDataFrame([("https://a.com/ok", 0)], "url string, position int")
     plan = pages.extract_articles(asked, responses(spark))._jdf.queryExecution().executedPlan().toString()
     for line in plan.splitlines():
         assert not ("Exchange" in line and "body" in line)
+    assert ("LeftSemi" in plan) == (rows > 0)
+    assert pages.extract_articles(asked, responses(spark)).first().title == "My Title"

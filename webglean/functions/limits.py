@@ -51,8 +51,10 @@ def _clamp(number: Column) -> Column:
 
 def clamp_text(raw: Column) -> Column:
     """Permissive form for text: a whole number is clamped to the range, all else is the default."""
-    digits = F.regexp_replace(strip(raw), r"([0-9])_([0-9])", "$1$2")
-    digits = F.regexp_replace(digits, r"([0-9])_([0-9])", "$1$2")
+    # Underscores between digits are allowed; the second pass takes those that share a digit.
+    joined = F.regexp_replace(strip(raw), r"([0-9])_([0-9])", "$1$2")
+    joined = F.regexp_replace(joined, r"([0-9])_([0-9])", "$1$2")
+    digits = F.when(F.contains(raw, F.lit("_")), joined).otherwise(strip(raw))
     whole = F.when(digits.rlike(r"^[+\-]?[0-9]+$"), digits.try_cast("double"))
     return _clamp(whole)
 

@@ -8,7 +8,7 @@ from ..functions import html, robots as rules_of, urls as u
 from ..functions.encodings import cap_and_decode
 from ..functions.text import blank_to_null, is_blank, strip, truncate_text
 from .requests import check_fetch_urls
-from .sizing import broadcast_if_small
+from .sizing import BROADCAST_ROWS, is_small
 
 # Limits and error texts of the fetch step.
 MAX_BYTES = 2_000_000
@@ -196,7 +196,10 @@ def extract_articles(
         checked = wanted.withColumn("allowed", F.lit(True))
     else:
         checked = robots_allowed(wanted, parse_robots(robots, user_agent))
-    asked = responses.join(broadcast_if_small(dedupe_urls(urls, position).select("url")), "url", "left_semi")
+    asked = responses
+    if is_small(urls, BROADCAST_ROWS):
+        listed = urls.select(strip(F.col("url")).alias("url")).distinct()
+        asked = responses.join(F.broadcast(listed), "url", "left_semi")
     fetched = fetch_snapshot(checked, read_articles(asked, max_bytes, max_chars))
     records = article_records(fetched)
     if mode != "capture":

@@ -104,10 +104,19 @@ def normalize_requests(requests: DataFrame) -> DataFrame:
     read = requests.select(
         "req_id",
         urls.form_pairs(urls.query_string(F.coalesce(F.col("url"), F.lit("")))).alias("_query"),
-        F.when(is_form, urls.form_pairs(F.col("body"))).alias("_form"),
-        F.when(~is_form, F.from_json(F.col("body"), "MAP<STRING,VARIANT>")).alias("_json"),
+        urls.form_pairs(F.when(is_form, F.col("body")).otherwise("")).alias("_form"),
+        F.from_json(F.when(~is_form, F.col("body")), "MAP<STRING,VARIANT>").alias("_json"),
     )
-    return read.select(
+    entries = read.select(
+        "req_id",
+        F.concat(_json_entries("_json"), _text_entries("_form"), _text_entries("_query")).alias("_entries"),
+    )
+    hidden = F.transform(F.filter("_entries", lambda e: e["empty_list"]), lambda e: e["name"])
+    usable = entries.withColumn("_hidden", hidden).select(
+        "req_id",
+        F.filter("_entries", lambda e: ~F.array_contains("_hidden", e["name"])).alias("_entries"),
+    )
+    return usable.select(
         "req_id",
         _first_given(QUERY_NAMES).alias("_q"),
         _first_given(LIMIT_NAMES).alias("_max"),
@@ -124,20 +133,41 @@ def normalize_requests(requests: DataFrame) -> DataFrame:
     )
 
 
+def _json_entries(column: str) -> Column:
+    """Body values as ``array<struct<name, text, json, empty_list>>``, without nulls and ``""``."""
+    pairs = F.coalesce(F.map_entries(column), F.array().cast("array<struct<key:string,value:variant>>"))
+    given = F.filter(
+        pairs, lambda e: ~F.is_variant_null(e["value"]) & (F.to_json(e["value"]) != '""')
+    )
+    return F.transform(
+        given,
+        lambda e: F.struct(
+            e["key"].alias("name"),
+            F.lit(None).cast("string").alias("text"),
+            e["value"].alias("json"),
+            (F.to_json(e["value"]) == "[]").alias("empty_list"),
+        ),
+    )
+
+
+def _text_entries(column: str) -> Column:
+    return F.transform(
+        column,
+        lambda p: F.struct(
+            p["name"].alias("name"),
+            p["value"].alias("text"),
+            F.lit(None).cast("variant").alias("json"),
+            F.lit(False).alias("empty_list"),
+        ),
+    )
+
+
 def _first_given(names: tuple[str, ...]) -> Column:
-    """``struct<text, json>`` of the first name that has a usable value, or null."""
-    fields = F.transform(F.array(*[F.lit(n) for n in names]), _field)
-    return F.get(F.filter(fields, lambda f: f.isNotNull()), F.lit(0))
-
-
-def _field(name: Column) -> Column:
-    value = F.try_element_at("_json", name)
-    raw = F.to_json(value)
-    given = F.coalesce(~F.is_variant_null(value) & (raw != '""'), F.lit(False))
-    text = F.coalesce(urls.first_value(F.col("_form"), name), urls.first_value(F.col("_query"), name))
-    as_json = F.struct(F.lit(None).cast("string").alias("text"), value.alias("json"))
-    as_text = F.struct(text.alias("text"), F.when(F.lit(False), value).alias("json"))
-    return F.when(given, F.when(raw != "[]", as_json)).when(text.isNotNull(), as_text)
+    """The entry of the first listed name that has one, body before query string, or null."""
+    listed = F.array(*[F.lit(n) for n in names])
+    mine = F.filter("_entries", lambda e: e["name"].isin(*names))
+    best = F.array_min(F.transform(mine, lambda e: F.array_position(listed, e["name"])))
+    return F.get(F.filter(mine, lambda e: F.array_position(listed, e["name"]) == best), F.lit(0))
 
 
 def _text_of(column: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 # Rows a table may have to be sent to every executor. Used for narrow rows only (an id and a short
 # text), so the bound is a few dozen megabytes.
@@ -10,11 +10,14 @@ BROADCAST_ROWS = 200_000
 
 
 def count_up_to(df: DataFrame, limit: int) -> int | None:
-    """The row count if it is at most ``limit``, else None. Reads no more than it needs."""
-    n = df.limit(limit + 1).count()
+    """The row count if it is at most ``limit``, else None.
+
+    ``take`` tries a few partitions and goes on only while rows are missing, so a large table stops
+    early; at most ``limit + 1`` empty rows reach the driver.
+    """
+    n = len(df.select().take(limit + 1))
     return n if n <= limit else None
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when a count proves it small, else leave the join to a shuffle."""
-    return df if count_up_to(df, limit) is None else F.broadcast(df)
+def is_small(df: DataFrame, limit: int) -> bool:
+    return count_up_to(df, limit) is not None
