@@ -115,7 +115,7 @@ records AS (
     CASE WHEN allowed AND transport_error IS NULL THEN status END AS status,
     CASE WHEN error IS NULL THEN title END AS title,
     CASE WHEN error IS NULL THEN {TRUNCATED} ELSE '' END AS text,
-    CASE WHEN error IS NULL THEN length({TRUNCATED}) ELSE 0 END AS chars,
+    CAST(CASE WHEN error IS NULL THEN length({TRUNCATED}) ELSE 0 END AS INTEGER) AS chars,
     CASE WHEN allowed AND transport_error IS NULL THEN fetched_at END AS "fetchedAt", error
   FROM checked c JOIN blocks b USING (page_id)
   UNION ALL
