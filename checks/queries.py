@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from webglean.functions.encodings import cap_and_decode
 from webglean.functions.html import (
-    block_text, extract_title, pick_root, strip_hidden, strip_noise, strip_tags,
+    block_text, extract_title, pick_root, strip_hidden, strip_noise, strip_tags_fallback,
 )
 from webglean.functions.text import truncate_text
 from webglean.operators import pages, requests, results, search, traffic
@@ -234,7 +234,7 @@ def o29_classify_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = pages.robots_allowed(
         inputs.responses(spark, sf_dir), pages.parse_robots(inputs.robots(spark, sf_dir))
     )
-    error = pages.response_error(
+    error = pages.classify_response(
         F.col("status"), F.col("content_type"), F.col("transport_error"), F.col("allowed")
     )
     return checked.select("url", error.alias("error"))
@@ -271,7 +271,7 @@ def o34_block_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def o35_strip_tags_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages", spread=True).select("page_id", strip_tags(F.col("html")).alias("text"))
+    return table(spark, sf_dir, "pages", spread=True).select("page_id", strip_tags_fallback(F.col("html")).alias("text"))
 
 
 def o36_truncate_text(spark: SparkSession, sf_dir: str) -> DataFrame:

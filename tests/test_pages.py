@@ -219,6 +219,12 @@ def test_extract_articles_rejects_other_schemes(spark):
     assert got == {"ftp://a": "only http(s) URLs are supported: ftp://a", "https://a.com/ok": None}
 
 
+def test_extract_articles_needs_urls(spark):
+    blank = spark.createDataFrame([(" ", 0), (None, 1)], "url string, position int")
+    with pytest.raises(ValueError, match="no URLs"):
+        pages.extract_articles(blank, responses(spark))
+
+
 def test_dedupe_urls_keeps_first_position(spark):
     rows = [(f"https://h.com/{i % 8}", i) for i in range(16)] + [(" ", 90), (None, 91)]
     got = pages.dedupe_urls(spark.createDataFrame(rows, "url string, position int")).orderBy("position").collect()

@@ -43,4 +43,6 @@ def test_research_report(spark):
     report = research_report(topics, corpus, as_responses(pages))
     got = {r.url: (r.title, r.text, r.fetchError) for r in report.sources.collect()}
     assert got == {"https://a.com/1": ("Red", "All about red fish", None), "https://a.com/2": (None, None, "HTTP 404")}
+    nothing = research_report(topics.filter("query_idx = 1"), corpus, as_responses(pages))
+    assert nothing.summary.collect() == [(1, 0, 0, 0)] and nothing.sources.isEmpty()
     assert sorted(map(tuple, report.summary.collect())) == [(0, 2, 1, 1), (1, 0, 0, 0)]

@@ -79,3 +79,5 @@ def test_peak_equals_brute_force(spark, hot_rows):
     df = spark.createDataFrame(rows, "key string, s timestamp, e timestamp")
     got = {r.key: (r.peak, r.within_cap) for r in traffic.peak_in_flight(df, "key", "s", "e", 10, hot_rows).collect()}
     assert got == {k: (brute_peak(v), brute_peak(v) <= 10) for k, v in spans.items()}
+    with pytest.raises(ValueError):
+        traffic.peak_in_flight(df, "key", "s", "e", 0)

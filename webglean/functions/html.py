@@ -126,6 +126,6 @@ def block_text(root: Column) -> Column:
     return F.array_join(F.filter(lines, lambda line: line != ""), "\n")
 
 
-def strip_tags(html: Column) -> Column:
+def strip_tags_fallback(html: Column) -> Column:
     """Last resort: tags become spaces, white space collapses."""
     return strip(F.regexp_replace(F.regexp_replace(html, ANY_TAG, " "), r"(?U)\s+", " "))

@@ -8,12 +8,13 @@ from ..functions import html, robots as rules_of, urls as u
 from ..functions.encodings import cap_and_decode
 from ..functions.text import blank_to_null, is_blank, strip, truncate_text
 from .requests import check_fetch_urls
-from .sizing import BROADCAST_ROWS, is_small
+from .sizing import BROADCAST_ROWS, count_up_to
 
 # Limits and error texts of the fetch step.
 MAX_BYTES = 2_000_000
 MAX_CHARS = 8_000
 TEXT_TYPES = ("text/html", "application/xhtml", "text/plain")
+NO_URLS = "no URLs to fetch"
 ROBOTS_ERROR = "blocked by robots.txt"
 NOT_FOUND = 404
 DEFAULT_USER_AGENT = "webglean/1.0"
@@ -71,7 +72,7 @@ def robots_allowed(urls: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def response_error(
+def classify_response(
     status: Column, content_type: Column, transport_error: Column, allowed: Column
 ) -> Column:
     """Why a page yields no article, or null: robots, transport, HTTP status, content type."""
@@ -120,7 +121,7 @@ def extract_text(pages: DataFrame, source: str = "html", max_chars: int | None =
         F.coalesce(
             blank_to_null(html.block_text(F.col("_root"))),
             blank_to_null(html.inline_text(F.col("_root"), "\n")),
-            html.strip_tags(F.coalesce(F.col(source), F.lit(""))),
+            html.strip_tags_fallback(F.coalesce(F.col(source), F.lit(""))),
         ),
     )
     cut = texts.withColumn("text", truncate_text(F.col("_text"), max_chars))
@@ -135,7 +136,7 @@ def read_articles(
     Returns ``(url, final_url, status, content_type, transport_error, fetched_at, title, text)``.
     Pages that yield no article are not decoded.
     """
-    usable = response_error(
+    usable = classify_response(
         F.col("status"), F.col("content_type"), F.col("transport_error"), F.lit(True)
     ).isNull()
     body = F.when(usable, cap_and_decode(F.col("body"), F.col("encoding"), max_bytes))
@@ -144,13 +145,13 @@ def read_articles(
     return extract_text(decoded, "_html", max_chars).select(*plain, "title", "text")
 
 
-def article_records(fetched: DataFrame) -> DataFrame:
+def article_record(fetched: DataFrame) -> DataFrame:
     """``(url, finalUrl, status, title, text, chars, fetchedAt, error)`` from looked-up articles.
 
     Needs ``allowed`` and the columns of ``read_articles``. A blocked URL was never fetched and a
     transport error has no answer: both keep null status, final URL and time.
     """
-    error = response_error(
+    error = classify_response(
         F.col("status"), F.col("content_type"), F.col("transport_error"), F.col("allowed")
     )
     answered = F.col("allowed") & F.col("transport_error").isNull()
@@ -188,20 +189,23 @@ def extract_articles(
 
     ``urls(url, position)``, ``responses`` as from ``load_responses``, ``robots(scheme, authority,
     status, body)`` or None to skip the check. A URL that is not http(s) stops the job; with
-    ``mode="capture"`` it only gets that error. Pages shrink to their article text before the lookup
+    ``mode="capture"`` it only gets that error. No URL at all raises ValueError. Pages shrink to their article text before the lookup
     by URL, so page bodies are never shuffled; a short URL list also drops unasked pages first.
     """
+    listed = urls.select(strip(F.col("url")).alias("url")).filter(~is_blank(F.col("url")))
+    asked_for = count_up_to(listed, BROADCAST_ROWS)
+    if asked_for == 0:
+        raise ValueError(NO_URLS)
     wanted = check_fetch_urls(dedupe_urls(urls, position), "url", mode)
     if robots is None:
         checked = wanted.withColumn("allowed", F.lit(True))
     else:
         checked = robots_allowed(wanted, parse_robots(robots, user_agent))
     asked = responses
-    if is_small(urls, BROADCAST_ROWS):
-        listed = urls.select(strip(F.col("url")).alias("url")).distinct()
-        asked = responses.join(F.broadcast(listed), "url", "left_semi")
+    if asked_for is not None:
+        asked = responses.join(F.broadcast(listed.distinct()), "url", "left_semi")
     fetched = fetch_snapshot(checked, read_articles(asked, max_bytes, max_chars))
-    records = article_records(fetched)
+    records = article_record(fetched)
     if mode != "capture":
         return records
     return _with_url_errors(records)

@@ -107,6 +107,8 @@ def peak_in_flight(
             )
         ),
     ).filter(F.col("_t").isNotNull())
+    if cap < 1:
+        raise ValueError("concurrency must be >= 1")
     split = split_hot(moments, [key], hot_rows)
     steps = split.cold.groupBy(key, "_t").agg(F.sum("_step").alias("_step"))
     so_far = Window.partitionBy(key).orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)

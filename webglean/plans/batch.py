@@ -14,6 +14,10 @@ from ..operators.search import search_batch
 from ..session import cut_lineage
 
 
+# Fixed value: the error of a batch without queries.
+NO_QUERIES = "queries list is empty"
+
+
 class BatchReport(NamedTuple):
     queries: DataFrame
     results: DataFrame
@@ -24,7 +28,12 @@ def search_report(
     queries: DataFrame, corpus: DataFrame, k: int | str = DEFAULT_RESULTS, dedupe: bool = True,
     mode: str = "fail",
 ) -> BatchReport:
-    """Check, search, merge and count. ``mode="capture"`` keeps bad queries as error rows."""
+    """Check, search, merge and count. ``mode="capture"`` keeps bad queries as error rows.
+
+    No query at all raises ValueError.
+    """
+    if queries.isEmpty():
+        raise ValueError(NO_QUERIES)
     checked = validate_queries(queries, mode)
     if mode == "fail":
         checked = checked.withColumn("error", F.lit(None).cast("string"))

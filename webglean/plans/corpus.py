@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.limits import DEFAULT_RESULTS
+from ..functions.text import is_blank
 from ..operators.pages import MAX_CHARS, extract_articles
 from ..operators.requests import validate_queries
 from ..operators.research import research, research_summary
@@ -31,7 +32,8 @@ def research_report(
     articles = None
     if fetch_full and responses is not None:
         urls = hits.select("url", F.col("rank").alias("position"))
-        articles = extract_articles(urls, responses, robots, max_chars=max_chars)
+        if not urls.filter(~is_blank(F.col("url"))).isEmpty():
+            articles = extract_articles(urls, responses, robots, max_chars=max_chars)
     sources = research(hits, articles, fetch_full)
     asked = checked.select(F.col("query_idx").alias("topic"))
     return ResearchReport(research_summary(asked, sources), sources)
