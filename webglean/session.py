@@ -1,20 +1,27 @@
-"""Session helpers: sensible defaults for stand-alone use, and the shared checkpoint folder."""
+"""Session helpers: sensible defaults for stand-alone use, and tables in the shared folder."""
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cpus: int | str = 8, app: str = "webglean") -> SparkSession:
+def local_session(cpus: int | str = 8, app: str = "webglean", memory: str = "8g") -> SparkSession:
     """A local session for tests and benches. On a cluster, use the session the cluster gives."""
+    folder = tempfile.mkdtemp(prefix="webglean-shared-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "20g")
+        .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", folder)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
@@ -24,15 +31,40 @@ def local_session(cpus: int | str = 8, app: str = "webglean") -> SparkSession:
     )
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see, named in ``spark.checkpoint.dir``.
+
+    A local session without the setting gets a temporary folder. Anywhere else a missing setting is
+    an error: executors would write to their own disks and lose each other's rows.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="webglean-shared-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the files.
+    """Write ``df`` as a table in the shared folder and go on from its files.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a session without one
-    (a test) gets a temporary folder.
+    The rows are computed once, survive lost executors, and are removed by ``forget`` or with the
+    folder, whose owner is whoever named it.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="webglean-checkpoint-"))
-    return df.checkpoint()
+    path = f"{shared_dir(df.sparkSession)}/webglean-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(*saved: DataFrame) -> None:
+    """Delete the files of tables made by ``cut_lineage`` that nothing reads any more."""
+    for df in saved:
+        spark = df.sparkSession
+        folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
+        for folder in folders:
+            if "/webglean-" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
