@@ -1,0 +1,61 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from webglean.llm import queries, token_files
+from webglean.session import shared_dir
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def library():
+    model = Tokenizer.from_file(PATH)
+    model.encode_special_tokens = True
+    return model
+
+
+def expected(library, texts):
+    start, rows = 0, []
+    for text in texts:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        rows.append((start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return rows
+
+
+def test_odd_rows(spark, library):
+    rows = [
+        (5, "two words", 1), (None, "null id", 2), (2, None, 3), (9, "", 4), (2, "b <|endoftext|>", 5),
+        (2, "b <|endoftext|>", 6), (7, "it's 漢字\x1c\x85 42!!  \n " * 4000, 7), (-3, "'re", 8),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
+    files = token_files.write_tokens(
+        df, f"{shared_dir(spark)}/odd", PATH, public_tokenizers.PATTERN
+    )
+    assert files.width == 2 and sum(f[1] for f in files.files) == len(rows)
+    got = [
+        (r.doc_id, r.start, r.n_tokens, zlib.crc32(bytes(r.ids)))
+        for r in token_files.read_tokens(spark, files).orderBy("start").collect()
+    ]
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    want = expected(library, [r[1] for r in order])
+    assert got == [(r[0], *w) for r, w in zip(order, want)]
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    files = token_files.write_tokens(df, f"{shared_dir(spark)}/none", PATH, public_tokenizers.PATTERN)
+    assert files.files == []
+    assert token_files.read_tokens(spark, files).count() == 0
+
+
+def test_query_equals_the_library(spark, library):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").collect()
+    want = expected(library, [d.text for d in docs])
+    got = queries.op6_token_files(spark, SF_DIR).orderBy("start").collect()
+    assert [tuple(r) for r in got] == [(d.doc_id, *w) for d, w in zip(docs, want)]
