@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
-from . import bpe, token_files
+from . import bpe, chat, sharding, token_files
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents to eight shards whose row counts differ by one at most."""
+    return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=8)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents to token files and back."""
     folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
@@ -29,6 +34,48 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed value: the text of both turns of the conversation that is added to the table.
+ODD_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations to the template and read back from it."""
+    fields = F.struct("turn", "role", "text")
+    odd = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(ODD_TEXT).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(odd)
+    records = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(fields)).alias("turns"))
+    written = chat.format_turns(chat.canonical_turns(records))
+    back = chat.parse_turns(written.select("conv_id", "formatted", "loss_spans"), to="back")
+    lines = F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = chat.loss_text()
+    return back.select(
+        "conv_id", F.size("back").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP7_SQL = """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(14 + length(role) + length(regexp_replace(role, '[^\\\\#<:]', '', 'g'))
+    + length(text) + length(regexp_replace(text, '[^\\\\#<]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents to token ids and back."""
     ids = bpe.encode(
@@ -42,8 +89,12 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED = {
+    "op4_label_propagation": op4_label_propagation,
     "op6_token_files": op6_token_files,
+    "op7_chat": op7_chat,
     "op10_prefix_bpe": op10_prefix_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_chat": OP7_SQL,
+}
