@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
-from . import bpe, chat, sharding, token_files
+from . import bpe, chat, quality, sharding, token_files, toxicity
+from .labels import held_out
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -18,6 +19,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _scored(df: DataFrame, cut: float) -> DataFrame:
+    return df.select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= cut).cast("int").alias("predicted"),
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return _scored(toxicity.score(docs, model), toxicity.REJECT)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return _scored(quality.score(docs, model), 0.5)
+
+
 def op4_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents to eight shards whose row counts differ by one at most."""
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=8)
@@ -89,6 +111,8 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED = {
+    "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
     "op4_label_propagation": op4_label_propagation,
     "op6_token_files": op6_token_files,
     "op7_chat": op7_chat,
