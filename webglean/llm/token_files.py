@@ -12,6 +12,7 @@ text; both keep their rows. No documents give no files. Only the two named colum
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 from collections.abc import Iterator
@@ -25,8 +26,9 @@ import pyarrow.fs
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from tokenizers import Tokenizer
 
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 # Documents in a batch that is tokenised together.
 BATCH = 256
 
@@ -43,8 +45,8 @@ class _Vocabulary:
     """Ids of pieces of text from the tokenizers library; every different piece is asked once."""
 
     def __init__(self, path: str, pattern: str):
-        from tokenizers import Tokenizer
-
+        # Spark runs a worker for every core, so threads inside one would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
@@ -57,9 +59,15 @@ class _Vocabulary:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        fresh = list({piece for pieces in cut for piece in pieces if piece not in known})
-        for piece, found in zip(fresh, self.model.encode_batch_fast(fresh, add_special_tokens=False)):
-            known[piece] = np.array(found.ids, f"<u{self.width}").tobytes()
+        fresh = list(set().union(*cut).difference(known))
+        if fresh:
+            found = self.model.encode(fresh, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, f"<u{self.width}").tobytes()
+            ends = np.bincount(np.array(found.word_ids), minlength=len(fresh)).cumsum() * self.width
+            start = 0
+            for piece, end in zip(fresh, ends.tolist()):
+                known[piece] = ids[start:end]
+                start = end
         return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
 
 
