@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
-from . import bpe, chat, quality, sharding, token_files, toxicity
+from . import bpe, chat, pii, quality, sharding, token_files, toxicity
 from .labels import held_out
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -98,6 +98,16 @@ FROM c GROUP BY conv_id
 """
 
 
+# The key of the registered query and of the pipeline. Real use takes a secret one.
+PII_KEY = "webglean surrogates"
+
+
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data and secrets replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_pii(docs, PII_KEY)
+
+
 def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents to token ids and back."""
     ids = bpe.encode(
@@ -116,6 +126,7 @@ REGISTERED = {
     "op4_label_propagation": op4_label_propagation,
     "op6_token_files": op6_token_files,
     "op7_chat": op7_chat,
+    "op8_surrogates": op8_surrogates,
     "op10_prefix_bpe": op10_prefix_bpe,
 }
 
