@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from webglean.llm import pii
+from webglean.llm import pii, queries
 
 KEY = "test key"
 
@@ -79,3 +79,19 @@ def test_values_stay_distinct(spark, monkeypatch, bound):
         users[new].add(old)
     assert all(len(v) == 1 for v in users.values())
     assert not set(texts) & set(got)
+
+
+def test_query_leaves_no_value_behind(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    old = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    kinds = [r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+", r"\b\d{16}\b", r"\b\d+\.\d+\.\d+\.\d+\b", r"\b[0-9a-f]{40}\b", r"\+1 \(\d{3}\) \d{3}-\d{4}"]
+    found = 0
+    for row in queries.op8_surrogates(spark, sf_dir).collect():
+        values = {v for kind in kinds for v in re.findall(kind, old[row.doc_id])}
+        found += len(values)
+        assert not [v for v in values if v in row.text]
+        assert bool(values) <= (row.text != old[row.doc_id])
+        assert len(re.sub(r"[\d.]", "", row.text)) == len(re.sub(r"[\d.]", "", old[row.doc_id])) or values
+        if not re.search(r"\d", old[row.doc_id]):
+            assert row.text == old[row.doc_id]
+    assert found > 50

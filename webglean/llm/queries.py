@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
-from . import bpe, chat, pii, quality, sharding, token_files, toxicity
+from . import bpe, chat, decontam, pii, quality, sharding, token_files, toxicity
 from .labels import held_out
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,6 +40,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.score(docs, model), 0.5)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.flag(docs, table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op4_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents to eight shards whose row counts differ by one at most."""
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=8)
@@ -123,6 +129,7 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
+    "op3_decontamination": op3_decontamination,
     "op4_label_propagation": op4_label_propagation,
     "op6_token_files": op6_token_files,
     "op7_chat": op7_chat,
