@@ -1,0 +1,87 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from webglean.llm import embed_neardup, queries
+from webglean.llm.components import components
+
+
+def brute(rows, limit=0.93):
+    ids = {}
+    for key, x, label in rows:
+        if key is not None:
+            ids.setdefault(key, (label, x))
+    good = {
+        k: (label, np.array(x, float) / max(map(abs, x))) for k, (label, x) in ids.items()
+        if label is not None and x and all(c is not None and math.isfinite(c) for c in x) and any(x)
+    }
+    links = {k: set() for k in ids}
+    keys = sorted(good)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            (la, xa), (lb, xb) = good[a], good[b]
+            if la == lb and len(xa) == len(xb) and xa @ xb / np.linalg.norm(xa) / np.linalg.norm(xb) >= limit:
+                links[a].add(b)
+                links[b].add(a)
+    root = {}
+    for k in sorted(ids):
+        stack = [] if k in root else [k]
+        while stack:
+            node = stack.pop()
+            if node not in root:
+                root[node] = k
+                stack += links[node]
+    return {(k, len(links[k]), root[k], root[k] == k) for k in ids}
+
+
+def made(seed, groups, size, spread=0.02, labels=3):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for g in range(groups):
+        centre = rng.standard_normal(16)
+        for _ in range(size if g else size * 20):
+            x = centre + spread * rng.standard_normal(16) * (1 + g % 5)
+            rows.append((len(rows), [float(c) for c in x], int(g % labels)))
+    return rows
+
+
+def answer(spark, rows, **options):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    df = df.withColumn("component_id", F.lit("x"))
+    return {tuple(r) for r in embed_neardup.near_duplicates(df, **options).collect()}
+
+
+def test_like_brute_force_also_where_windows_are_short(spark):
+    rows = made(1, 40, 8)
+    rng = np.random.default_rng(2)
+    rows += [(1000 + i, [float(c) for c in rng.standard_normal(16)], 1) for i in range(300)]
+    rows += [(2000 + i, rows[5][1], rows[5][2]) for i in range(30)]  # equal vectors
+    assert answer(spark, rows, window=16, dense=8) == brute(rows)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, None, 1), (5, [], 1),
+        (6, [0.0, 0.0], 1), (7, [nan, 1.0], 1), (8, [inf, 1.0], 1), (9, [None, 1.0], 1),
+        (10, [1.0, 0.0], None), (11, [1.0, 0.0, 0.0], 1), (12, [1e300, 1e298], 1), (1, [1.0, 0.0], 1),
+    ]
+    assert answer(spark, rows) == brute(rows)
+    assert answer(spark, rows[:0]) == set()
+    assert {r[1:] for r in answer(spark, [(None, [1.0], 1)] * 3)} == {(0, None, True)}
+
+
+def test_query(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    rows = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    assert {tuple(r) for r in queries.op5_sorted_projections(spark, sf_dir).collect()} == brute(rows)
+
+
+@pytest.mark.parametrize("n", [1, 2, 40])
+def test_components_of_paths_and_stars(spark, n):
+    links = [(i, i + 1) for i in range(n)] + [(1000, 1000 + i) for i in range(n)] + [(5000, 5000)]
+    got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
+    want = {i: 0 for i in range(n + 1)} | {1000 + i: 1000 for i in range(n)} | {5000: 5000}
+    assert got == want

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
-from . import bpe, chat, decontam, pii, quality, sharding, token_files, toxicity
+from . import bpe, chat, decontam, embed_neardup, pii, quality, sharding, token_files, toxicity
 from .labels import held_out
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +51,11 @@ def op4_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op5_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates among all embeddings of one label."""
+    return embed_neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents to token files and back."""
     folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
@@ -131,6 +136,7 @@ REGISTERED = {
     "op2_quality": op2_quality,
     "op3_decontamination": op3_decontamination,
     "op4_label_propagation": op4_label_propagation,
+    "op5_sorted_projections": op5_sorted_projections,
     "op6_token_files": op6_token_files,
     "op7_chat": op7_chat,
     "op8_surrogates": op8_surrogates,
