@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
-from . import bpe, chat, decontam, embed_neardup, pii, quality, sharding, token_files, toxicity
+from . import bpe, chat, decontam, embed_neardup, jaccard_join, pii, quality, sharding, token_files, toxicity
 from .labels import held_out
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -119,6 +119,34 @@ def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_pii(docs, PII_KEY)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates among all documents by their sets of five-word shingles."""
+    return jaccard_join.join_components(table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE
+    WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM w
+), u AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT s.doc_id, len(s.s) AS n_shingles,
+  least(s.doc_id, coalesce((SELECT min(b) FROM r WHERE r.a = s.doc_id), s.doc_id)) AS component_id
+FROM s
+"""
+
+
 def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents to token ids and back."""
     ids = bpe.encode(
@@ -140,9 +168,11 @@ REGISTERED = {
     "op6_token_files": op6_token_files,
     "op7_chat": op7_chat,
     "op8_surrogates": op8_surrogates,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_prefix_bpe": op10_prefix_bpe,
 }
 
 SQL: dict[str, str] = {
     "op7_chat": OP7_SQL,
+    "op9_jaccard_join": OP9_SQL,
 }
