@@ -30,7 +30,7 @@ def expected(library, texts):
 
 def test_odd_rows(spark, library):
     rows = [
-        (5, "two words", 1), (None, "null id", 2), (2, None, 3), (9, "", 4), (2, "b <|endoftext|>", 5),
+        (5, "two words", 1), (None, "null id", 2), (3, None, 3), (9, "", 4), (2, "b <|endoftext|>", 5),
         (2, "b <|endoftext|>", 6), (7, "it's 漢字\x1c\x85 42!!  \n " * 4000, 7), (-3, "'re", 8),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int")

@@ -6,8 +6,8 @@ range. ``<name>.ids`` holds nothing but the ids, little-endian, 16 bits where th
 and n + 1 offsets counted in ids from the start of that file, all 64 bits. A prefix sum over the
 ranges gives each file its base. ``read_tokens`` maps the files and returns one row per document.
 
-A null text is empty. Null document ids come first, repeated ones stand side by side ordered by
-text; both keep their rows. No documents give no files. Only the two named columns are read.
+A null text is empty. Null document ids come first, repeated ones stand side by side, ordered by
+a hash of their text; both keep their rows. No documents give no files. Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -123,9 +123,12 @@ def write_tokens(
         })
 
     ordered = (
-        df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-        .repartitionByRange("key", "text")
-        .sortWithinPartitions("key", "text")
+        df.select(
+            F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"),
+            F.xxhash64(F.col(text).cast("string")).alias("turn"),
+        )
+        .repartitionByRange("key", "turn")
+        .sortWithinPartitions("key", "turn", "text")
     )
     shape = "part int, name string, docs long, ids long, width int"
     # One row a range of documents.
