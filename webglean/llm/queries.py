@@ -132,7 +132,7 @@ WITH RECURSIVE w AS (
   FROM documents
 ), s AS (
   SELECT doc_id, CASE
-    WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')))
+    WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
   FROM w
 ), u AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
