@@ -1,8 +1,8 @@
 """Toxicity: gradient-boosted trees over dense features of a text, calibrated by isotonic regression.
 
 The features are densities of lexicon words, their closeness to words of the second person,
-capitals, punctuation and obfuscation. The lexicon is learned: words and word beginnings that mark
-labelled toxic documents. Features of the training rows come from the lexicon of the other half, so
+capitals, punctuation and obfuscation. The lexicon is a short list of insults and what is learned:
+words and word beginnings that mark labelled toxic documents. Features of the training rows come from the lexicon of the other half, so
 that no row vouches for its own words.
 
 Scores are between 0 and 1. Null and empty texts get the score of a text without words. Without
@@ -39,6 +39,13 @@ SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine deiner euch euer ihr tu te toi ton ta tes "
     "vous votre vos tú ti tus usted ustedes vosotros vuestro".split()
 )
+# Common insults, known without any label. What the labels mark comes on top.
+INSULTS = frozenset(
+    "idiot idiots idiotic moron morons stupid dumb fool fools jerk loser losers scum trash garbage "
+    "worthless pathetic disgusting clown freak creep bastard imbecile vermin filthy dummkopf trottel "
+    "abschaum widerlich wertlos crétin débile ordure minable dégoûtant estúpido imbécil basura "
+    "asqueroso inútil".split()
+)
 # Signs that stand for letters.
 LEET = str.maketrans({
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i",
@@ -174,7 +181,7 @@ def _terms(rows: DataFrame) -> tuple[frozenset[str], frozenset[str], frozenset[s
         odds = F.log((bad + 0.3) / F.lit(n_bad + 0.6)) - F.log((good + 0.3) / F.lit(n_good + 0.6))
         best = counts.withColumns({"bad": bad, "odds": odds}).filter("bad >= 2 and odds > 2.5")
         best = best.orderBy(F.desc(F.col("odds") * F.log1p("bad")), "term").limit(TERMS)
-        lexicons.append(frozenset(r.term for r in best.select("term").collect()))
+        lexicons.append(INSULTS.union(r.term for r in best.select("term").collect()))
     return tuple(lexicons)
 
 
