@@ -270,6 +270,14 @@ SELECT page_id AS rank, url FROM pages WHERE NOT (contains(lower(url), 'spam-far
 SELECT page_id AS rank, url FROM pages p WHERE NOT EXISTS (SELECT 1 FROM
   (SELECT DISTINCT regexp_extract(url, '^http://([^/?#]*)', 1) AS host FROM pages) h
   WHERE host <> '' AND contains(lower(p.url), lower(host)))""",
+    "o10_exclude_domains_long": """WITH
+hits AS (SELECT page_id AS rank, CASE WHEN page_id % 10 = 3 THEN NULL
+  WHEN page_id % 2 = 0 THEN 'HTTPS://é.com/' || repeat('a', 500) || '/ITEM/' || page_id || '/x'
+  ELSE 'https://b.com/' || page_id || 'e' || page_id || '-' END AS url FROM pages),
+patterns AS (SELECT DISTINCT lower(p) AS p FROM (SELECT 'Item/' || doc_id || '/x' AS p FROM documents WHERE NOT 'Item/' || doc_id || '/x' LIKE '%4/x'
+  UNION ALL SELECT 'e' || event_id || '-' FROM events WHERE 'e' || event_id || '-' LIKE '%7-'
+  UNION ALL SELECT right(url, 9) FROM pages WHERE length(url) >= 9))
+SELECT rank, url FROM hits WHERE NOT EXISTS (SELECT 1 FROM patterns WHERE contains(lower(url), p))""",
     "o11_drop_urlless": f"WITH {CHAT} SELECT query_idx, rank, url FROM chat WHERE url IS NOT NULL",
     "o12_to_compat_rows": f"""WITH {CHAT}
 SELECT query_idx, rank, coalesce(title, '') AS title, coalesce(url, '') AS url, text AS content, text AS snippet, text,
@@ -320,7 +328,7 @@ SELECT count(*) AS total, count(error) AS "errorCount", count(*) AS requested FR
 SELECT query_idx AS topic, count(s.rank) AS "sourceCount", count(s.text) AS fetched, count("fetchError") AS "errorCount"
 FROM asks LEFT JOIN sources s ON s.topic = query_idx GROUP BY query_idx""",
     "o26_nest_report": f"""WITH {CHAT}
-SELECT query_idx, CAST(floor((rank - 1) / 1000) AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS n,
+SELECT query_idx, CAST(count(*) AS INTEGER) AS n,
   string_agg(text, '|' ORDER BY rank) AS texts FROM chat GROUP BY ALL""",
     "o27_parse_robots": f"WITH {ROBOTS} SELECT scheme, authority, rule_no, allow, path FROM rules",
     "o28_robots_allowed": f"WITH {ROBOTS} SELECT page_id, url, allowed FROM verdicts",
@@ -343,6 +351,13 @@ numbered AS (SELECT event_id, event_type, date_trunc('hour', ts) AS t, epoch_us(
 carried AS (SELECT *, max(us - i * 400000.0::DOUBLE) OVER (PARTITION BY event_type ORDER BY i
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM numbered),
 waits AS (SELECT *, CAST(round(greatest(0, coalesce(m + (i - 1.5) * 400000.0::DOUBLE - us, 0))) AS BIGINT) AS wait_us FROM carried)
+SELECT event_id, event_type, wait_us, t + to_microseconds(wait_us) AS granted_at FROM waits""",
+    "o38_rate_schedule_split": """WITH
+numbered AS (SELECT event_id, event_type, date_trunc('hour', ts) AS t, CAST(epoch_us(date_trunc('hour', ts)) AS HUGEINT) * 7 AS us,
+  row_number() OVER (PARTITION BY event_type ORDER BY date_trunc('hour', ts), event_id) AS i FROM events),
+carried AS (SELECT *, max(us - i * 1000000) OVER (PARTITION BY event_type ORDER BY i
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM numbered),
+waits AS (SELECT *, CAST((2 * greatest(0, coalesce(m + (i - 6) * 1000000 - us, 0)) + 7) // 14 AS BIGINT) AS wait_us FROM carried)
 SELECT event_id, event_type, wait_us, t + to_microseconds(wait_us) AS granted_at FROM waits""",
     "o39_peak_in_flight": """WITH
 moments AS (SELECT user_id, ts AS t, 1 AS step FROM events

@@ -97,6 +97,22 @@ def o10_exclude_domains_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("rank", "url")
 
 
+def o10_exclude_domains_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More than a thousand patterns of all lengths, blanks too, against long and odd URLs."""
+    ids = table(spark, sf_dir, "documents").select(F.concat(F.lit("Item/"), F.col("doc_id"), F.lit("/x")).alias("pattern"))
+    events = table(spark, sf_dir, "events").select(F.concat(F.lit("e"), F.col("event_id"), F.lit("-")).alias("pattern"))
+    paths = table(spark, sf_dir, "pages").select(F.substring("url", -9, 9).alias("pattern")).filter(F.length("pattern") == 9)
+    odd = spark.range(3).select(F.when(F.col("id") == 0, "").when(F.col("id") == 1, "  ").alias("pattern"))
+    hits = inputs.page_hits(spark, sf_dir).select(
+        "query_idx", "rank",
+        F.when(F.col("rank") % 10 == 3, F.lit(None)).when(
+            F.col("rank") % 2 == 0, F.concat(F.lit("HTTPS://é.com/"), F.repeat(F.lit("a"), 500), F.lit("/ITEM/"), F.col("rank"), F.lit("/x")),
+        ).otherwise(F.concat(F.lit("https://b.com/"), F.col("rank"), F.lit("e"), F.col("rank"), F.lit("-"))).alias("url"),
+    )
+    patterns = ids.filter("pattern not like '%4/x'").union(events.filter("pattern like '%7-'")).union(paths).union(odd)
+    return results.exclude_domains_table(hits, patterns).select("rank", "url")
+
+
 def o11_drop_urlless(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.drop_urlless(inputs.chat_hits(spark, sf_dir)).select("query_idx", "rank", "url")
 
@@ -211,7 +227,7 @@ def o25_research_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def o26_nest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = results.nest_report(inputs.chat_hits(spark, sf_dir), ["query_idx"])
     return nested.select(
-        "query_idx", "part", F.size("results").alias("n"),
+        "query_idx", F.size("results").alias("n"),
         F.array_join(F.transform("results", lambda r: r["text"]), "|").alias("texts"),
     )
 
@@ -295,6 +311,15 @@ def o38_rate_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return granted.select("event_id", "event_type", "wait_us", "granted_at")
 
 
+def o38_rate_schedule_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rate whose step is no whole number of microseconds; every key is cut into blocks."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")
+    )
+    granted = traffic.rate_schedule(events, "event_type", "ts", "event_id", 7, hot_rows=100)
+    return granted.select("event_id", "event_type", "wait_us", "granted_at")
+
+
 def o39_peak_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "user_id",

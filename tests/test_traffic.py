@@ -60,6 +60,27 @@ def test_schedule_equals_simulation(spark, rate, hot_rows):
             assert waits[i] == pytest.approx(grant * 1e6 - t, abs=2)
 
 
+@pytest.mark.parametrize("rate", [1, 2.5, 3, 6.1, 7, 11])
+def test_split_keys_get_the_same_waits(spark, rate):
+    rng, now, rows = random.Random(9), 0, []
+    for i in range(3000):
+        now += rng.choice([0, 0, 1, 33_333, 142_857, 700_001])
+        rows.append(("k" if i % 3 else "l", now, i))
+    df = log(spark, rows)
+    whole, split = (
+        {r.seq: r.wait_us for r in traffic.rate_schedule(df, "key", "ts", "seq", rate, n).collect()}
+        for n in (1_000_000, 100)
+    )
+    assert whole == split
+
+
+def test_rows_without_a_start_are_not_in_flight(spark):
+    t = [START + timedelta(seconds=s) for s in range(6)]
+    rows = [("k", t[0], t[4]), ("k", t[1], t[5]), ("k", None, t[0]), ("k", t[3], None)]
+    df = spark.createDataFrame(rows, "key string, s timestamp, e timestamp")
+    assert traffic.peak_in_flight(df, "key", "s", "e").first().peak == 3
+
+
 def brute_peak(spans):
     steps = sorted([(s, 1) for s, _ in spans] + [(e, -1) for _, e in spans])
     high = now = 0

@@ -1,12 +1,14 @@
 """HTML expressions: title, noise removal, main root and block text.
 
-The patterns use no look-around and no back-references, so each runs in one pass over the text.
-They are meant for real-world markup and are not a full parser: a noise tag nested in one of its
-own name ends at the first close, and a nested block (``li`` holding ``p``) is reported once.
+Every pattern runs in about one pass over the text: where it looks for an end that can be missing, it
+is given only the text up to the last such end. They are meant for real-world markup and are not a
+full parser. Text of nested blocks (``li`` holding ``p``) is reported once, also behind the inner one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
@@ -31,21 +33,33 @@ def _element(tag: str, end: str = "") -> str:
 
 # Script and style run to the end of the page when their close is missing, as do comments.
 HIDDEN = r"(?is)<!--.*?(?:-->|\z)|" + "|".join(_element(t, r"|\z") for t in RAW_TEXT_TAGS)
-NOISE = r"(?is)" + "|".join(_element(t) for t in NOISE_TAGS)
 BLOCK_OPEN = rf"(?i)<{_BLOCKS}{_ATTRS}/?>"
-FROM_BLOCK_CLOSE = rf"(?is)</{_BLOCKS}\s*>.*"
+BLOCK_CLOSE = rf"(?i)</{_BLOCKS}\s*>"
+# An element of one noise name inside another of that name, so often.
+NOISE_DEPTH = 16
 TAG = r"</?[a-zA-Z][^>]*>|<[!?][^>]*>"
 ANY_TAG = r"<[^>]+>"
 ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 
 _CUT = "\x01"
 _KEY = "\x02"
+_OPEN, _CLOSE = "\x03", "\x04"
 _COMMON = ("amp", "lt", "gt", "quot", "nbsp")
 # The HTML 4 names and "apos", as one literal; common names come first because lookups scan in order.
 _CODE_POINTS = {name: name2codepoint[name] for name in _COMMON} | name2codepoint | {"apos": 39}
 _ENTITIES = _CUT.join(f"&{name};{_KEY}{chr(point)}" for name, point in _CODE_POINTS.items())
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _up_to_last(text: Column, end: str) -> Column:
+    """The text up to and with the last match of ``end``; nothing without one."""
+    return F.regexp_extract(text, f"(?is)^.*{end}", 0)
+
+
 def _code_point(entity: Column) -> Column:
     hexadecimal = F.lower(F.substring(entity, 3, 1)) == "x"
     digits = F.regexp_extract(entity, r"([0-9a-fA-F]+);$", 1)
@@ -73,8 +87,12 @@ def unescape(text: Column) -> Column:
 
 def inline_text(markup: Column, joiner: str = " ") -> Column:
     """Text between tags, each run stripped, empty runs dropped."""
-    runs = F.split(F.regexp_replace(markup, TAG, _CUT), _CUT)
-    clean = F.filter(F.transform(runs, lambda t: strip(unescape(t))), lambda t: t != "")
+    def runs(text: Column, tags: Column) -> Column:
+        rest = F.substring(text, F.length(tags) + 1, F.length(text))
+        return F.split(F.concat(F.regexp_replace(tags, TAG, _CUT), rest), _CUT)
+
+    cut = _let(markup, lambda text: _let(_up_to_last(text, ">"), lambda tags: runs(text, tags)))
+    clean = F.filter(F.transform(cut, lambda t: strip(unescape(t))), lambda t: t != "")
     return F.array_join(clean, joiner)
 
 
@@ -84,21 +102,40 @@ def strip_hidden(html: Column) -> Column:
 
 
 def strip_noise(html: Column) -> Column:
-    """Drop page furniture with its content. Expects ``strip_hidden`` output."""
-    return F.regexp_replace(html, NOISE, "")
+    """Drop page furniture with its content. Expects ``strip_hidden`` output.
+
+    Opens and closes of a name are marked; what stands between two marks that meet goes, the
+    innermost first. A mark without its partner keeps its tag.
+    """
+    def without(tag: str, text: Column) -> Column:
+        marked = F.regexp_replace(text, rf"(?i)<{tag}{_ATTRS}>", _OPEN + "$0")
+        marked = F.regexp_replace(marked, rf"(?i)</{tag}\s*>", "$0" + _CLOSE)
+        inner = f"{_OPEN}[^{_OPEN}{_CLOSE}]*{_CLOSE}"
+        rounds = F.sequence(F.lit(1), F.lit(NOISE_DEPTH))
+        bare = F.aggregate(rounds, marked, lambda t, _: F.regexp_replace(t, inner, ""))
+        return F.when(text.rlike(rf"(?i)</{tag}"), F.translate(bare, _OPEN + _CLOSE, "")).otherwise(text)
+
+    html = F.translate(html, _OPEN + _CLOSE, "")
+    for tag in NOISE_TAGS:
+        html = _let(html, partial(without, tag))
+    return html
 
 
 def extract_title(html: Column) -> Column:
     """``<title>``, else ``og:title``, else the first ``<h1>``. Expects ``strip_hidden`` output."""
-    title = strip(unescape(F.regexp_extract(html, rf"(?is)<title{_ATTRS}>(.*?)</title\s*>", 1)))
+    title = strip(unescape(F.regexp_extract(
+        _up_to_last(html, r"</title\s*>"), rf"(?is)<title{_ATTRS}>(.*?)</title\s*>", 1
+    )))
     meta = F.regexp_extract(
-        html, r"""(?is)<meta\s[^>]*property\s*=\s*["']?og:title["'\s/>][^>]*>?""", 0
+        _up_to_last(html, ">"), r"""(?is)<meta\s[^>]*property\s*=\s*["']?og:title["'\s/>][^>]*>?""", 0
     )
     content = F.concat(
         F.regexp_extract(meta, r"""(?is)\scontent\s*=\s*"([^"]*)\"""", 1),
         F.regexp_extract(meta, r"(?is)\scontent\s*=\s*'([^']*)'", 1),
     )
-    heading = inline_text(F.regexp_extract(html, rf"(?is)<h1{_ATTRS}>(.*?)</h1\s*>", 1))
+    heading = inline_text(F.regexp_extract(
+        _up_to_last(html, r"</h1\s*>"), rf"(?is)<h1{_ATTRS}>(.*?)</h1\s*>", 1
+    ))
     return F.coalesce(
         blank_to_null(title), blank_to_null(strip(unescape(content))), blank_to_null(heading)
     )
@@ -116,16 +153,57 @@ def pick_root(html: Column) -> Column:
     return F.coalesce(*found, html)
 
 
+def _depths(steps: Column) -> Column:
+    """Running sum of +1 and -1, never below 0: how many blocks are open. Sums start anew from every
+    square root of n steps, so no step is added up n times."""
+    def fold(start: Column, part: Column) -> Column:
+        return F.aggregate(part, start, lambda n, step: F.greatest(F.lit(0), n + step))
+
+    def summed(steps: Column, run: Column) -> Column:
+        starts = F.transform(
+            F.sequence(F.lit(0), (F.size(steps) / run).cast("int")),
+            lambda k: fold(F.lit(0), F.slice(steps, F.lit(1), k * run)),
+        )
+        return _let(starts, lambda starts: F.transform(steps, lambda _, i: fold(
+            F.get(starts, (i / run).cast("int")),
+            F.slice(steps, (i / run).cast("int") * run + 1, F.pmod(i, run) + 1),
+        )))
+
+    return _let(steps, lambda steps: _let(
+        F.ceil(F.sqrt(F.greatest(F.size(steps), F.lit(1)))).cast("int"), lambda run: summed(steps, run)
+    ))
+
+
 def block_text(root: Column) -> Column:
-    """One line per text block; text outside blocks counts only when no block has any."""
-    pieces = F.split(root, BLOCK_OPEN)
-    opened = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    lines = F.transform(
-        opened, lambda piece: inline_text(F.regexp_replace(piece, FROM_BLOCK_CLOSE, ""))
+    """One line per run of text inside blocks; text outside of all blocks doesn't count."""
+    plain = F.translate(root, _OPEN + _CLOSE, "")
+
+    def marked(text: Column, tags: Column) -> Column:
+        found = F.regexp_replace(F.regexp_replace(tags, BLOCK_OPEN, _OPEN), BLOCK_CLOSE, _CLOSE)
+        return F.concat(found, F.substring(text, F.length(tags) + 1, F.length(text)))
+
+    pieces = F.split(
+        _let(plain, lambda text: _let(_up_to_last(text, ">"), lambda tags: marked(text, tags))),
+        f"(?=[{_OPEN}{_CLOSE}])",
     )
-    return F.array_join(F.filter(lines, lambda line: line != ""), "\n")
+
+    def lines(pieces: Column) -> Column:
+        steps = F.transform(pieces, lambda p: F.when(F.startswith(p, F.lit(_OPEN)), 1).when(
+            F.startswith(p, F.lit(_CLOSE)), -1
+        ).otherwise(0))
+        inside = F.zip_with(pieces, _depths(steps), lambda p, depth: F.when(
+            depth > 0, inline_text(F.translate(p, _OPEN + _CLOSE, ""))
+        ))
+        return F.array_join(F.filter(inside, lambda line: F.coalesce(line, F.lit("")) != ""), "\n")
+
+    return _let(pieces, lines)
 
 
 def strip_tags_fallback(html: Column) -> Column:
     """Last resort: tags become spaces, white space collapses."""
-    return strip(F.regexp_replace(F.regexp_replace(html, ANY_TAG, " "), r"(?U)\s+", " "))
+    def bare(text: Column, tags: Column) -> Column:
+        rest = F.substring(text, F.length(tags) + 1, F.length(text))
+        return F.concat(F.regexp_replace(tags, ANY_TAG, " "), rest)
+
+    without = _let(html, lambda text: _let(_up_to_last(text, ">"), lambda tags: bare(text, tags)))
+    return strip(F.regexp_replace(without, r"(?U)\s+", " "))

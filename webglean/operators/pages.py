@@ -8,7 +8,7 @@ from ..functions import html, robots as rules_of, urls as u
 from ..functions.encodings import cap_and_decode
 from ..functions.text import blank_to_null, is_blank, strip, truncate_text
 from .requests import check_fetch_urls
-from .sizing import BROADCAST_ROWS, count_up_to
+from .sizing import is_small
 
 # Limits and error texts of the fetch step.
 MAX_BYTES = 2_000_000
@@ -19,6 +19,9 @@ ROBOTS_ERROR = "blocked by robots.txt"
 NOT_FOUND = 404
 DEFAULT_USER_AGENT = "webglean/1.0"
 
+# Asked URLs up to this many are sent along as 64-bit hashes, to drop other pages before parsing.
+HASHED_URLS = 5_000_000
+
 
 def dedupe_urls(urls: DataFrame, position: str = "position") -> DataFrame:
     """Trimmed, non-blank URLs with the position where each was first seen."""
@@ -88,6 +91,13 @@ def classify_response(
     )
 
 
+def latest_capture(captures: DataFrame) -> DataFrame:
+    """One row per URL: the latest by ``fetched_at``; ties by the other columns, nulls come first."""
+    rest = [c for c in captures.columns if c not in ("url", "fetched_at")]
+    last = captures.groupBy("url").agg(F.max(F.struct("fetched_at", *rest)).alias("_last"))
+    return last.select("url", "_last.*").select(*captures.columns)
+
+
 def fetch_snapshot(urls: DataFrame, responses: DataFrame) -> DataFrame:
     """Look each URL up among the snapshots; a URL without one gets status 404.
 
@@ -184,27 +194,35 @@ def extract_articles(
     max_chars: int | None = MAX_CHARS,
     position: str = "position",
     mode: str = "fail",
+    at: Column | None = None,
 ) -> DataFrame:
     """One article record per distinct URL, in one job.
 
     ``urls(url, position)``, ``responses`` as from ``load_responses``, ``robots(scheme, authority,
     status, body)`` or None to skip the check. A URL that is not http(s) stops the job; with
-    ``mode="capture"`` it only gets that error. No URL at all raises ValueError. Pages shrink to their article text before the lookup
-    by URL, so page bodies are never shuffled; a short URL list also drops unasked pages first.
+    ``mode="capture"`` it only gets that error. No URL at all raises ValueError. Of several captures
+    of a URL the latest counts, or the latest up to the time ``at``. Pages that nobody may or does ask
+    for are dropped before they are parsed, by hashes of the URLs if at most ``HASHED_URLS`` are
+    asked. Pages shrink to their article text before the lookup by URL, so page bodies are never
+    shuffled.
     """
     listed = urls.select(strip(F.col("url")).alias("url")).filter(~is_blank(F.col("url")))
-    asked_for = count_up_to(listed, BROADCAST_ROWS)
-    if asked_for == 0:
+    if listed.isEmpty():
         raise ValueError(NO_URLS)
     wanted = check_fetch_urls(dedupe_urls(urls, position), "url", mode)
     if robots is None:
         checked = wanted.withColumn("allowed", F.lit(True))
     else:
         checked = robots_allowed(wanted, parse_robots(robots, user_agent))
-    asked = responses
-    if asked_for is not None:
-        asked = responses.join(F.broadcast(listed.distinct()), "url", "left_semi")
-    fetched = fetch_snapshot(checked, read_articles(asked, max_bytes, max_chars))
+    asked = responses if at is None else responses.filter(F.col("fetched_at") <= at)
+    useful = checked.filter(F.col("allowed") & F.col("url").rlike("(?i)^https?://"))
+    hashes = useful.select(F.xxhash64("url").alias("_hash")).distinct()
+    if is_small(hashes, HASHED_URLS):
+        asked = asked.withColumn("_hash", F.xxhash64("url")).join(
+            F.broadcast(hashes), "_hash", "left_semi"
+        ).drop("_hash")
+    articles = latest_capture(read_articles(asked, max_bytes, max_chars))
+    fetched = fetch_snapshot(checked, articles)
     records = article_record(fetched)
     if mode != "capture":
         return records

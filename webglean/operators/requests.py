@@ -136,8 +136,12 @@ def normalize_requests(requests: DataFrame) -> DataFrame:
 def _json_entries(column: str) -> Column:
     """Body values as ``array<struct<name, text, json, empty_list>>``, without nulls and ``""``."""
     pairs = F.coalesce(F.map_entries(column), F.array().cast("array<struct<key:string,value:variant>>"))
+    # Of a repeated name the last value counts.
+    pairs = F.reverse(pairs)
+    names = F.transform(pairs, lambda e: e["key"])
+    last = F.filter(pairs, lambda e, i: F.array_position(names, e["key"]) == i + 1)
     given = F.filter(
-        pairs, lambda e: ~F.is_variant_null(e["value"]) & (F.to_json(e["value"]) != '""')
+        last, lambda e: ~F.is_variant_null(e["value"]) & (F.to_json(e["value"]) != '""')
     )
     return F.transform(
         given,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .scan import ordered_blocks, split_hot
@@ -30,20 +32,23 @@ def rate_schedule(
     between 0 and 1 could never grant anything, because the bucket holds no whole token.
 
     With requests numbered from 1, c = 1/rate and M(i) = max(t(j) - j*c) over j <= i, the grant is
-    max(t(i), M(i-1) + (i - (rate - 1)) * c): a running maximum, no simulation.
+    max(t(i), M(i-1) + (i - (rate - 1)) * c): a running maximum, no simulation. With the rate as a
+    fraction p/q all terms times p are whole numbers, so no order of adding changes a result; the
+    wait is rounded once, halves up.
     """
     if 0 < rate < 1:
         raise ValueError("a rate between 0 and 1 never grants a request")
     if rate <= 0:
         return requests.withColumns({"wait_us": F.lit(0).cast("long"), "granted_at": F.col(ts)})
-    cost = 1_000_000.0 / rate
+    exact = Fraction(str(rate))
+    cost = _whole(F.lit(1_000_000 * exact.denominator))
     columns = requests.columns
-    timed = requests.withColumn("_t", _micros(requests, ts))
+    timed = requests.withColumn("_t", _whole(_micros(requests, ts)) * _whole(F.lit(exact.numerator)))
     split = split_hot(timed, [key], hot_rows)
 
-    done = _grants(_numbered(split.cold, [key], seq, cost), F.col("_i"), F.col("_before"), rate, cost)
+    done = _grants(_numbered(split.cold, [key], seq, cost), F.col("_i"), F.col("_before"), exact, cost)
     if split.hot is not None:
-        done = done.unionByName(_hot_grants(split.hot, key, seq, rate, cost, split.blocks))
+        done = done.unionByName(_hot_grants(split.hot, key, seq, exact, cost, split.blocks))
     return done.select(
         *columns,
         "wait_us",
@@ -51,24 +56,36 @@ def rate_schedule(
     )
 
 
-def _numbered(df: DataFrame, keys: list[str], seq: str, cost: float) -> DataFrame:
+def _whole(value: Column) -> Column:
+    return value.cast("decimal(38,0)")
+
+
+def _times(i: Column, cost: Column) -> Column:
+    return _whole(_whole(i) * cost)
+
+
+def _numbered(df: DataFrame, keys: list[str], seq: str, cost: Column) -> DataFrame:
     """Add ``_i``, ``_m`` = t - i*cost, and ``_before``, the maximum of ``_m`` over earlier rows."""
     in_order = Window.partitionBy(*keys).orderBy("_t", seq)
     numbered = df.withColumn("_i", F.row_number().over(in_order)).withColumn(
-        "_m", F.col("_t") - F.col("_i") * F.lit(cost)
+        "_m", _whole(F.col("_t") - _times(F.col("_i"), cost))
     )
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     return numbered.withColumn("_before", F.max("_m").over(earlier))
 
 
-def _grants(df: DataFrame, i: Column, before: Column, rate: float, cost: float) -> DataFrame:
-    ready = before + (i - F.lit(rate - 1)) * F.lit(cost)
-    wait = F.greatest(F.lit(0.0), F.coalesce(ready - F.col("_t"), F.lit(0.0)))
-    return df.withColumn("wait_us", F.round(wait).cast("long")).drop("_i", "_m", "_before", "_t")
+def _grants(df: DataFrame, i: Column, before: Column, rate: Fraction, cost: Column) -> DataFrame:
+    p = rate.numerator
+    full = _whole(F.lit((p - rate.denominator) * 1_000_000))  # (rate - 1) * c, times p
+    late = _whole(_whole(before + _times(i, cost)) - full - F.col("_t"))
+    late = F.greatest(_whole(F.lit(0)), F.coalesce(late, _whole(F.lit(0))))
+    df = df.withColumn("_late", _whole(2 * late + _whole(F.lit(p))))
+    wait = F.expr(f"_late div cast({2 * p} as decimal(38,0))")
+    return df.withColumn("wait_us", wait.cast("long")).drop("_i", "_m", "_before", "_t", "_late")
 
 
 def _hot_grants(
-    hot: DataFrame, key: str, seq: str, rate: float, cost: float, blocks: int
+    hot: DataFrame, key: str, seq: str, rate: Fraction, cost: Column, blocks: int
 ) -> DataFrame:
     blocked = ordered_blocks(hot, [key], ["_t", seq], blocks)
     local = _numbered(blocked, [key, "_block"], seq, cost)
@@ -80,13 +97,13 @@ def _hot_grants(
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     carried = carried.withColumn(
-        "_carry", F.max(F.col("_top") - F.col("_offset") * F.lit(cost)).over(earlier)
+        "_carry", F.max(_whole(F.col("_top") - _times(F.col("_offset"), cost))).over(earlier)
     ).select(F.col(key).alias("_key"), F.col("_block").alias("_at"), "_offset", "_carry")
     joined = local.join(
         F.broadcast(carried),
         local[key].eqNullSafe(F.col("_key")) & (local["_block"] == F.col("_at")),
     )
-    before = F.greatest("_carry", F.col("_before") - F.col("_offset") * F.lit(cost))
+    before = F.greatest("_carry", _whole(F.col("_before") - _times(F.col("_offset"), cost)))
     granted = _grants(joined, F.col("_offset") + F.col("_i"), before, rate, cost)
     return granted.drop("_block", "_key", "_at", "_offset", "_carry")
 
@@ -97,8 +114,9 @@ def peak_in_flight(
 ) -> DataFrame:
     """``(key, peak, within_cap)``: the most intervals open at once. An interval ends before another
     starts at the same time. Starts and ends are added up per moment before anything is shuffled.
+    A null end is still open; a row without a start was never in flight and doesn't count.
     """
-    moments = requests.select(
+    moments = requests.filter(F.col(start).isNotNull()).select(
         key,
         F.inline(
             F.array(
