@@ -7,13 +7,12 @@ full parser. Text of nested blocks (``li`` holding ``p``) is reported once, also
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import partial
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
-from .text import blank_to_null, strip
+from .text import blank_to_null, let, strip
 
 # Element names that steer the extraction.
 BLOCK_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "blockquote", "pre")
@@ -50,11 +49,6 @@ _CODE_POINTS = {name: name2codepoint[name] for name in _COMMON} | name2codepoint
 _ENTITIES = _CUT.join(f"&{name};{_KEY}{chr(point)}" for name, point in _CODE_POINTS.items())
 
 
-def _let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then(value)``, with the value worked out once however often it is used."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def _up_to_last(text: Column, end: str) -> Column:
     """The text up to and with the last match of ``end``; nothing without one."""
     return F.regexp_extract(text, f"(?is)^.*{end}", 0)
@@ -91,7 +85,7 @@ def inline_text(markup: Column, joiner: str = " ") -> Column:
         rest = F.substring(text, F.length(tags) + 1, F.length(text))
         return F.split(F.concat(F.regexp_replace(tags, TAG, _CUT), rest), _CUT)
 
-    cut = _let(markup, lambda text: _let(_up_to_last(text, ">"), lambda tags: runs(text, tags)))
+    cut = let(markup, lambda text: let(_up_to_last(text, ">"), lambda tags: runs(text, tags)))
     clean = F.filter(F.transform(cut, lambda t: strip(unescape(t))), lambda t: t != "")
     return F.array_join(clean, joiner)
 
@@ -117,7 +111,7 @@ def strip_noise(html: Column) -> Column:
 
     html = F.translate(html, _OPEN + _CLOSE, "")
     for tag in NOISE_TAGS:
-        html = _let(html, partial(without, tag))
+        html = let(html, partial(without, tag))
     return html
 
 
@@ -164,12 +158,12 @@ def _depths(steps: Column) -> Column:
             F.sequence(F.lit(0), (F.size(steps) / run).cast("int")),
             lambda k: fold(F.lit(0), F.slice(steps, F.lit(1), k * run)),
         )
-        return _let(starts, lambda starts: F.transform(steps, lambda _, i: fold(
+        return let(starts, lambda starts: F.transform(steps, lambda _, i: fold(
             F.get(starts, (i / run).cast("int")),
             F.slice(steps, (i / run).cast("int") * run + 1, F.pmod(i, run) + 1),
         )))
 
-    return _let(steps, lambda steps: _let(
+    return let(steps, lambda steps: let(
         F.ceil(F.sqrt(F.greatest(F.size(steps), F.lit(1)))).cast("int"), lambda run: summed(steps, run)
     ))
 
@@ -183,7 +177,7 @@ def block_text(root: Column) -> Column:
         return F.concat(found, F.substring(text, F.length(tags) + 1, F.length(text)))
 
     pieces = F.split(
-        _let(plain, lambda text: _let(_up_to_last(text, ">"), lambda tags: marked(text, tags))),
+        let(plain, lambda text: let(_up_to_last(text, ">"), lambda tags: marked(text, tags))),
         f"(?=[{_OPEN}{_CLOSE}])",
     )
 
@@ -196,7 +190,7 @@ def block_text(root: Column) -> Column:
         ))
         return F.array_join(F.filter(inside, lambda line: F.coalesce(line, F.lit("")) != ""), "\n")
 
-    return _let(pieces, lines)
+    return let(pieces, lines)
 
 
 def strip_tags_fallback(html: Column) -> Column:
@@ -205,5 +199,5 @@ def strip_tags_fallback(html: Column) -> Column:
         rest = F.substring(text, F.length(tags) + 1, F.length(text))
         return F.concat(F.regexp_replace(tags, ANY_TAG, " "), rest)
 
-    without = _let(html, lambda text: _let(_up_to_last(text, ">"), lambda tags: bare(text, tags)))
+    without = let(html, lambda text: let(_up_to_last(text, ">"), lambda tags: bare(text, tags)))
     return strip(F.regexp_replace(without, r"(?U)\s+", " "))

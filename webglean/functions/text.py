@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Every code point Unicode counts as white space lies below U+3001.
@@ -39,3 +41,8 @@ def truncate_text(col: Column, max_chars: int | None = 8000) -> Column:
 def tokens(col: Column) -> Column:
     """Lower-cased runs of letters and digits."""
     return F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), F.lit(TOKEN), F.lit(0))
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
