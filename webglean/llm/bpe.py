@@ -20,6 +20,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from .batches import short_batches
+
 # Pieces whose ids a worker remembers before it starts over.
 REMEMBERED = 400_000
 
@@ -142,12 +144,23 @@ class PrefixEncoder:
         return found[::-1]
 
 
-@cache
-def load_ranks(path: str) -> BytePairs:
-    """A rank file: lines of a base64 token and its rank. Read once in a worker."""
+def _read_ranks(path: str) -> dict[bytes, int]:
+    """A rank file: lines of a base64 token and its rank."""
     with open(path, "rb") as lines:
         pairs = [line.split() for line in lines if line.strip()]
-    return BytePairs({base64.b64decode(token): int(rank) for token, rank in pairs})
+    return {base64.b64decode(token): int(rank) for token, rank in pairs}
+
+
+@cache
+def load_ranks(path: str) -> BytePairs:
+    """Made once in a worker."""
+    return BytePairs(_read_ranks(path))
+
+
+@cache
+def _tokens(path: str) -> dict[int, bytes]:
+    """What decoding needs: much less than encoding."""
+    return {rank: token for token, rank in _read_ranks(path).items()}
 
 
 class _Pieces(dict):
@@ -196,7 +209,7 @@ def encode(
         for batch in texts:
             yield pd.Series([encode_text(x or "", path, pattern) for x in batch], dtype=object)
 
-    df = df.withColumn(ids, encoded(F.col(text)))
+    df = short_batches(df).withColumn(ids, encoded(F.col(text)))
     return df.withColumn(count, (F.octet_length(ids) / 4).cast("long"))
 
 
@@ -205,8 +218,8 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", to: str = "decoded"
 
     @F.pandas_udf("binary")
     def decoded(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        of = load_ranks(path).bytes_of.__getitem__
+        of = _tokens(path).__getitem__
         for batch in column:
             yield pd.Series([b"".join(map(of, array("I", x or b""))) for x in batch], dtype=object)
 
-    return df.withColumn(to, decoded(F.col(ids)))
+    return short_batches(df).withColumn(to, decoded(F.col(ids)))
