@@ -24,6 +24,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage, forget
+from .batches import short_batches
 from .labels import labelled
 
 # At most so many labelled rows are learned from, and so many terms make up a lexicon.
@@ -154,7 +155,7 @@ def _featured(df: DataFrame, lexicon: frozenset[str], text: str, to: str) -> Dat
         for batch in column:
             yield pd.Series([features_of(x or "", words) for x in batch], dtype=object)
 
-    return df.withColumn(to, featured(F.col(text).cast("string")))
+    return short_batches(df).withColumn(to, featured(F.col(text).cast("string")))
 
 
 def _terms(rows: DataFrame) -> tuple[frozenset[str], frozenset[str], frozenset[str]]:
