@@ -68,8 +68,14 @@ def answer(spark, rows, **options):
     return Counter(tuple(r) for r in jaccard_join.join_components(df, **options).collect())
 
 
-@pytest.mark.parametrize("options", [{}, {"counted": 300, "block": 400}])
-def test_like_brute_force(spark, options):
+@pytest.mark.parametrize("options, hot, unit", [
+    ({}, 32, 500_000), ({"counted": 300, "block": 400}, 32, 500), ({"counted": 3000}, 3, 500_000),
+    ({"counted": 900}, 2, 1500),
+])
+def test_like_brute_force(spark, monkeypatch, options, hot, unit):
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
+    monkeypatch.setattr(jaccard_join, "UNIT", unit)
+    monkeypatch.setattr(jaccard_join, "LEAST_BITS", 0 if options else 6)
     rows = made(4) + ODD
     assert answer(spark, rows, **options) == brute(rows)
 

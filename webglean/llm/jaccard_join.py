@@ -25,15 +25,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage, forget
+from .batches import short_batches
 from .components import components
 
 N = 5
 # Shared at least 75 of 100 of the union.
 SHARE = 75
-# Shingles that one counting task and one block hold, and bytes of text hashed at once.
-COUNTED = 4_000_000
+# At least 2**LEAST_BITS counting tasks. Shingles that one of them and one block hold; bytes of text
+# hashed at once.
+LEAST_BITS = 6
+COUNTED = 2_500_000
 BLOCK = 2_000_000
-CHUNK = 1 << 20
+CHUNK = 1 << 19
+# Shingles that a task deals out at a time, and the sets among them that make a shingle hot.
+UNIT = 500_000
+HOT = 32
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -92,15 +98,16 @@ def _shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _sets(texts: pd.Series) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of texts: from, to, hashes, and how many for each."""
-    data = [(x or "").encode() for x in texts]
-    start = size = 0
-    for i, text in enumerate(data):
-        if i > start and size + len(text) > CHUNK:
-            yield start, i, *_shingles(data[start:i])
-            start, size = i, 0
+    data, size, start = [], 0, 0
+    for i, x in enumerate(texts):
+        text = (x or "").encode()
+        if data and size + len(text) > CHUNK:
+            yield start, i, *_shingles(data)
+            data, size, start = [], 0, i
+        data.append(text)
         size += len(text)
     if data:
-        yield start, len(data), *_shingles(data[start:])
+        yield start, len(texts), *_shingles(data)
 
 
 def _names(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -126,84 +133,189 @@ def _named(df: DataFrame, key: str, text: str) -> DataFrame:
                     "set": [x.tobytes() if n else None for x, n in zip(names, counts)],
                 })
 
-    rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = short_batches(df).select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInPandas(named, "doc_id long, n long, set binary")
 
 
+def _units(batches: Iterator[pd.DataFrame], unit: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Shingles, the number of their set, and names and sizes of the sets; equal sets of a unit once."""
+    def unit_of() -> tuple[np.ndarray, ...]:
+        return np.concatenate(grams), np.concatenate(owners), np.stack(names), np.array(sizes, np.uint32)
+
+    seen, grams, owners, names, sizes, total = set(), [], [], [], [], 0
+    for batch in batches:
+        for _, _, hashes, counts in _sets(batch["text"]):
+            name, ends = _names(hashes, counts), np.cumsum(counts)
+            for i, n in enumerate(counts.tolist()):
+                if n and (own := name[i].tobytes()) not in seen:
+                    seen.add(own)
+                    grams.append(hashes[ends[i] - n : ends[i]].copy())
+                    owners.append(np.full(n, len(names), np.uint32))
+                    names.append(name[i])
+                    sizes.append(n)
+                    total += n
+            if total >= unit:
+                yield unit_of()
+                seen, grams, owners, names, sizes, total = set(), [], [], [], [], 0
+    if names:
+        yield unit_of()
+
+
+def _runs(sorted_values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))
+
+
+_DEALT = (
+    "bucket long, turn long, names binary, sizes binary, counts binary, low binary, high binary,"
+    "hot binary, weights binary"
+)
+
+
 def _dealt(df: DataFrame, text: str, bits: int) -> DataFrame:
-    """Shingles by their first ``bits``: for each bucket the sets, and the rest of their hashes."""
+    """Shingles by their first ``bits``: for each bucket the sets, and the rest of their hashes.
+
+    A shingle that ``HOT`` sets of a unit have is counted there and sends its count alone; its sets
+    travel in rows of their own, ``turn`` above 0, so no bucket has to hold them."""
     low = min(40, 56 - bits)
 
+    def bucket_of(grams: np.ndarray) -> np.ndarray:
+        return (grams >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
+
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            seen, grams, owners, names, sizes = set(), [], [], [], []
-            for _, _, hashes, counts in _sets(batch["text"]):
-                name, ends = _names(hashes, counts), np.cumsum(counts)
-                for i, n in enumerate(counts.tolist()):
-                    if n and (own := name[i].tobytes()) not in seen:
-                        seen.add(own)
-                        grams.append(hashes[ends[i] - n : ends[i]])
-                        owners.append(np.full(n, len(names), np.uint32))
-                        names.append(name[i])
-                        sizes.append(n)
-            if not names:
-                continue
-            grams, owners = np.concatenate(grams), np.concatenate(owners)
-            names, sizes = np.stack(names), np.array(sizes, np.uint32)
-            bucket = (grams >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
+        for grams, owners, names, sizes in _units(batches, UNIT):
+            order = np.argsort(grams, kind="stable")
+            grams, owners = grams[order], owners[order]
+            cuts = _runs(grams)
+            count = np.diff(np.append(cuts, len(grams)))
+            often = count >= HOT
+            rows, turn = [], int(names[0][0] >> _U(2)) + 1  # tells the unit
+            for a, n in zip(cuts[often], count[often]):
+                own = owners[a : a + n]
+                key = np.array([grams[a] & _U((1 << low) - 1)])
+                rows.append((
+                    int(bucket_of(grams[a : a + 1])[0]), turn, names[own].tobytes(),
+                    sizes[own].tobytes(), b"", b"", b"", key.tobytes(), b"",
+                ))
+            hot, weight = grams[cuts[often]], count[often].astype(np.uint32)
+            hot_bucket = bucket_of(hot)
+            rare = np.repeat(~often, count)
+            grams, owners = grams[rare], owners[rare]
+            bucket = bucket_of(grams)
             order = np.lexsort((owners, bucket))
             grams, owners, bucket = grams[order], owners[order], bucket[order]
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            rows = []
-            for a, b in zip(cuts, [*cuts[1:], len(grams)]):
-                own, count = np.unique(owners[a:b], return_counts=True)
-                rest = grams[a:b] & _U((1 << low) - 1)
+            rest = grams & _U((1 << low) - 1)
+            for k in np.union1d(bucket, hot_bucket):
+                a, b = np.searchsorted(bucket, [k, k + 1])
+                own, own_count = np.unique(owners[a:b], return_counts=True)
+                c, d = np.searchsorted(hot_bucket, [k, k + 1])
                 rows.append((
-                    int(bucket[a]), names[own].tobytes(), sizes[own].tobytes(),
-                    count.astype(np.uint32).tobytes(), rest.astype(np.uint32).tobytes(),
-                    (rest >> _U(32)).astype(np.uint8).tobytes(),
+                    int(k), 0, names[own].tobytes(), sizes[own].tobytes(),
+                    own_count.astype(np.uint32).tobytes(), rest[a:b].astype(np.uint32).tobytes(),
+                    (rest[a:b] >> _U(32)).astype(np.uint8).tobytes(),
+                    (hot[c:d] & _U((1 << low) - 1)).tobytes(), weight[c:d].tobytes(),
                 ))
-            yield pd.DataFrame(rows, columns=["bucket", "names", "sizes", "counts", "low", "high"])
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in _DEALT.split(",")])
+
+    return short_batches(df).select(F.col(text).cast("string").alias("text")).mapInPandas(dealt, _DEALT)
 
-    shape = "bucket long, names binary, sizes binary, counts binary, low binary, high binary"
-    return df.select(F.col(text).cast("string").alias("text")).mapInPandas(dealt, shape)
 
+_SHARED = "kind int, set binary, n long, gram long, grams binary, sizes binary"
 
-def _shared(dealt: DataFrame, bits: int) -> DataFrame:
-    """``set, n, grams``: the shingles of a bucket that other sets have, too. A shingle is given as
-    a class of its count (8 bits) and its hash, so that numbers order it: rarest first."""
+
+def _counted(dealt: DataFrame, bits: int) -> DataFrame:
+    """Kind 0: ``set, n, grams``, the shingles of a bucket that other sets have, too. A shingle is
+    given as a class of its count (8 bits) and its hash, so that numbers order it: rarest first.
+    Kind 1: ``gram, grams``, a hot shingle's hash and that number. Kind 2: ``gram`` with the sets
+    (``set``) of the unit ``n`` that have it."""
     low = min(40, 56 - bits)
 
-    def shared(part: pd.DataFrame) -> pd.DataFrame:
-        def joined(column: str, kind: type) -> np.ndarray:
+    def counted(part: pd.DataFrame) -> pd.DataFrame:
+        bucket = _U(int(part["bucket"].iloc[0]) << low)
+        if part["turn"].iloc[0]:
+            keys = [int(np.frombuffer(x, np.uint64)[0] | bucket) for x in part["hot"]]
+            return pd.DataFrame({
+                "kind": 2, "set": part["names"], "n": part["turn"], "gram": keys, "grams": b"", "sizes": part["sizes"],
+            })
+
+        def joined(column: str, kind: type | str) -> np.ndarray:
             return np.frombuffer(b"".join(part[column]), kind)
 
         names, place = np.unique(joined("names", "V16"), return_inverse=True)
         sizes = np.zeros(len(names), np.uint32)
         sizes[place] = joined("sizes", np.uint32)
         rest = joined("low", np.uint32) | joined("high", np.uint8).astype(np.uint64) << _U(32)
-        owner = np.repeat(place.astype(np.uint64), joined("counts", np.uint32))
+        owner = np.repeat(place.astype(np.uint32), joined("counts", np.uint32))
         order = np.lexsort((owner, rest))
         rest, owner = rest[order], owner[order]
         fresh = np.ones(len(rest), bool)
         fresh[1:] = (rest[1:] != rest[:-1]) | (owner[1:] != owner[:-1])
         rest, owner = rest[fresh], owner[fresh]
-        cuts = np.flatnonzero(np.concatenate([[True], rest[1:] != rest[:-1]]))
-        count = np.diff(np.append(cuts, len(rest)))
-        rank = np.minimum(255, np.floor(4 * np.log2(count))).astype(np.uint64)
-        gram = np.repeat(rank, count) << _U(56) | _U(int(part["bucket"].iloc[0]) << low) | rest
-        kept = np.repeat(count > 1, count)
+        cuts = _runs(rest) if len(rest) else np.zeros(0, np.int64)
+        once, count = rest[cuts], np.diff(np.append(cuts, len(rest)))
+        # Counts of units add up; a set in two units counts twice, which only shifts the order.
+        hot, at = np.unique(joined("hot", np.uint64), return_inverse=True)
+        more = np.bincount(at, joined("weights", np.uint32), len(hot)).astype(np.int64)
+        total = count.copy()
+        known = np.searchsorted(once, hot)
+        both = known < len(once)
+        both[both] = once[known[both]] == hot[both]
+        total[known[both]] += more[both]
+        more[both] += count[known[both]]
+
+        def ordered(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+            rank = np.minimum(255, np.floor(4 * np.log2(np.maximum(1, counts)))).astype(np.uint64)
+            return rank << _U(56) | bucket | keys
+
+        gram = np.repeat(ordered(once, total), count)
+        kept = np.repeat(total > 1, count)
         gram, owner = gram[kept], owner[kept].astype(np.int64)
         order = np.argsort(owner, kind="stable")
         gram, owner = gram[order], owner[order]
-        cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else []
-        return pd.DataFrame({
-            "set": [names[owner[a]].tobytes() for a in cuts],
-            "n": [int(sizes[owner[a]]) for a in cuts],
-            "grams": [gram[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(gram)])],
-        })
+        cuts = _runs(owner) if len(owner) else np.zeros(0, np.int64)
+        rows = [
+            (0, names[owner[a]].tobytes(), int(sizes[owner[a]]), 0, gram[a:b].tobytes(), b"")
+            for a, b in zip(cuts, [*cuts[1:], len(gram)])
+        ]
+        rows += [
+            (1, b"", 0, int(key | bucket), number.tobytes(), b"")
+            for key, number in zip(hot, ordered(hot, more))
+        ]
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in _SHARED.split(",")])
+
+    return dealt.groupBy("bucket", "turn").applyInPandas(counted, _SHARED)
+
+
+def _shared(counted: DataFrame) -> DataFrame:
+    """``set, n, grams``: the shared shingles of the sets, in several rows."""
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def merged() -> pd.DataFrame:
+            return pd.DataFrame({
+                "set": list(found), "n": [sizes[x] for x in found],
+                "grams": [b"".join(grams) for grams in found.values()],
+            })
 
-    return dealt.groupBy("bucket").applyInPandas(shared, "set binary, n long, grams binary")
+        found, sizes, total = {}, {}, 0
+        for batch in batches:
+            for row in batch.itertuples():
+                names = np.frombuffer(row.set, "V16")
+                for name, n in zip(names, np.frombuffer(row.sizes, np.uint32).tolist()):
+                    name = name.tobytes()
+                    found.setdefault(name, []).append(row.grams)
+                    sizes[name] = n
+                total += len(names)
+            if total >= UNIT:
+                yield merged()
+                found, sizes, total = {}, {}, 0
+        if found:
+            yield merged()
+
+    numbers = counted.filter("kind = 1").select("gram", "grams")
+    hot = counted.filter("kind = 2").select("gram", "n", "set", "sizes").join(numbers, "gram")
+    # A unit's rows together: each of its sets gets one row for all its hot shingles.
+    hot = hot.repartition("n").select("set", "sizes", "grams").mapInPandas(spread, "set binary, n long, grams binary")
+    return counted.filter("kind = 0").select("set", "n", "grams").union(hot)
 
 
 def _needed(n: int, share: int) -> int:
@@ -215,15 +327,16 @@ def _records(shared: DataFrame, share: int) -> DataFrame:
     """``set, n, grams, first``: sets that can link at all, their shared shingles in order, and the
     first ones, of which linked sets have one in common."""
     rows = shared.groupBy("set").agg(
-        F.max("n").alias("n"), F.sum(F.octet_length("grams")).alias("bytes"),
-        F.collect_list("grams").alias("parts"),  # a set's own shingles
-    ).filter(F.col("bytes") / 8 * 100 >= F.col("n") * share)
+        F.max("n").alias("n"),
+        # A set's own shingles. Two units may both have sent a hot one: the row is the same.
+        F.collect_set("grams").alias("parts"),
+    ).filter(F.aggregate("parts", F.lit(0), lambda a, g: a + F.octet_length(g)) / 8 * 100 >= F.col("n") * share)
 
     def ordered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            grams = [np.sort(np.frombuffer(b"".join(p), np.uint64)) for p in batch["parts"]]
+            grams = [np.unique(np.frombuffer(b"".join(p), np.uint64)) for p in batch["parts"]]
             first = [
-                g[: len(g) - _needed(n, share) + 1].astype(np.int64) for g, n in zip(grams, batch["n"])
+                g[: max(0, len(g) - _needed(n, share) + 1)].astype(np.int64) for g, n in zip(grams, batch["n"])
             ]
             yield pd.DataFrame({
                 "set": batch["set"], "n": batch["n"], "grams": [g.tobytes() for g in grams],
@@ -361,8 +474,10 @@ def join_components(
         F.min("doc_id").alias("least"), F.max("n").alias("n")
     )
     total = once.agg(F.sum("n")).first()[0] or 0
-    bits = min(24, max(0, math.ceil(math.log2(max(1, total / counted)))))
-    records = cut_lineage(_records(_shared(_dealt(df, text, bits), bits), share))
+    bits = min(24, max(LEAST_BITS, math.ceil(math.log2(max(1, total / counted)))))
+    counts = cut_lineage(_counted(_dealt(df, text, bits), bits))
+    records = cut_lineage(_records(_shared(counts), share))
+    forget(counts)
     firsts = records.select("set", F.explode_outer("first").alias("gram"))
     heads = firsts.groupBy("gram").agg(F.min("set").alias("head"), F.count(F.lit(1)).alias("sets"))
     near = firsts.join(heads.filter("sets > 1"), "gram").filter(F.col("set") != F.col("head"))
