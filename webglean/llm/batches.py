@@ -1,7 +1,9 @@
-"""Batch size of Python over whole texts."""
+"""Memory of Python over whole texts: batch size, and what a worker keeps between tasks."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 ROWS = 1000
@@ -15,3 +17,15 @@ def short_batches(df: DataFrame) -> DataFrame:
     if not 0 < int(conf.get(_KEY, "10000")) <= ROWS:
         conf.set(_KEY, str(ROWS))
     return df
+
+
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def working(operator: str, drop: Callable[[], None] | None = None) -> None:
+    """To be called in a task: drops what other operators keep in this worker, which Spark hands from
+    stage to stage. ``drop`` frees what this one keeps."""
+    for name in [name for name in _kept if name != operator]:
+        _kept.pop(name)()
+    if drop is not None:
+        _kept[operator] = drop

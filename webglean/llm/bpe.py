@@ -20,7 +20,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import short_batches
+from .batches import short_batches, working
 
 # Pieces whose ids a worker remembers before it starts over.
 REMEMBERED = 400_000
@@ -193,6 +193,11 @@ def _cutter(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+def _drop() -> None:
+    for kept in (_pieces, load_ranks, _tokens):
+        kept.cache_clear()
+
+
 def encode_text(text: str, path: str, pattern: str) -> bytes:
     """Ids of one text as little-endian unsigned 32-bit integers; every match apart."""
     return b"".join(map(_pieces(path).__getitem__, _cutter(pattern).findall(text)))
@@ -206,6 +211,7 @@ def encode(
 
     @F.pandas_udf("binary")
     def encoded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        working("bpe", _drop)
         for batch in texts:
             yield pd.Series([encode_text(x or "", path, pattern) for x in batch], dtype=object)
 
@@ -218,6 +224,7 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", to: str = "decoded"
 
     @F.pandas_udf("binary")
     def decoded(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        working("bpe", _drop)
         of = _tokens(path).__getitem__
         for batch in column:
             yield pd.Series([b"".join(map(of, array("I", x or b""))) for x in batch], dtype=object)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage, forget
-from .batches import short_batches
+from .batches import short_batches, working
 from .components import components
 
 N = 5
@@ -34,7 +34,7 @@ SHARE = 75
 # At least 2**LEAST_BITS counting tasks. Shingles that one of them and one block hold; bytes of text
 # hashed at once.
 LEAST_BITS = 6
-COUNTED = 2_500_000
+COUNTED = 1_000_000
 BLOCK = 2_000_000
 CHUNK = 1 << 19
 # Shingles that a task deals out at a time, and the sets among them that make a shingle hot.
@@ -125,6 +125,7 @@ def _named(df: DataFrame, key: str, text: str) -> DataFrame:
     """``doc_id, n, set`` of every row; ``set`` is null without shingles."""
 
     def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        working("jaccard_join")
         for batch in batches:
             for a, b, hashes, counts in _sets(batch["text"]):
                 names = _names(hashes, counts)
@@ -183,6 +184,7 @@ def _dealt(df: DataFrame, text: str, bits: int) -> DataFrame:
         return (grams >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
 
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        working("jaccard_join")
         for grams, owners, names, sizes in _units(batches, UNIT):
             order = np.argsort(grams, kind="stable")
             grams, owners = grams[order], owners[order]
@@ -248,6 +250,7 @@ def _counted(dealt: DataFrame, bits: int) -> DataFrame:
         owner = np.repeat(place.astype(np.uint32), joined("counts", np.uint32))
         order = np.lexsort((owner, rest))
         rest, owner = rest[order], owner[order]
+        del order, place
         fresh = np.ones(len(rest), bool)
         fresh[1:] = (rest[1:] != rest[:-1]) | (owner[1:] != owner[:-1])
         rest, owner = rest[fresh], owner[fresh]

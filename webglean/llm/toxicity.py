@@ -24,7 +24,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage, forget
-from .batches import short_batches
+from .batches import short_batches, working
 from .labels import labelled
 
 # At most so many labelled rows are learned from, and so many terms make up a lexicon.
@@ -151,6 +151,7 @@ def codes_of(text: str, at: np.ndarray) -> list[str]:
 def _featured(df: DataFrame, lexicon: frozenset[str], text: str, to: str) -> DataFrame:
     @F.pandas_udf("array<double>")
     def featured(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        working("toxicity")
         words = _Words(lexicon)
         for batch in column:
             yield pd.Series([features_of(x or "", words) for x in batch], dtype=object)
