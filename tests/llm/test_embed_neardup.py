@@ -61,6 +61,26 @@ def test_like_brute_force_also_where_windows_are_short(spark):
     assert answer(spark, rows, window=16, dense=8) == brute(rows)
 
 
+@pytest.mark.parametrize("mean, groups", [(0.75, 1), (0.92, 1), (0.85, 8)])
+def test_pairs_off_centre(spark, mean, groups):
+    """Isolated pairs just within the limit, in a cone, or in several cones of one label."""
+    rng = np.random.default_rng(5)
+
+    def unit(n):
+        x = rng.standard_normal((n, 64))
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    cones = unit(groups)[np.arange(1000) % groups]
+    base = math.sqrt(mean) * cones + math.sqrt(1 - mean) * unit(1000)
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    other = 0.94 * base + math.sqrt(1 - 0.94**2) * unit(1000)
+    x = np.concatenate([base, other / np.linalg.norm(other, axis=1, keepdims=True)])
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    got = {r[0]: r[1] for r in answer(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)], window=16, dense=8)}
+    assert near.sum() > 1000 and got == dict(enumerate(near.sum(axis=1).tolist()))
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

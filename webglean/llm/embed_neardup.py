@@ -1,14 +1,17 @@
 """Near-duplicate vectors by sorted projection passes.
 
 Every pass orders the vectors by label and the concatenated signs of their products with random
-directions, and compares each with its next ``WINDOW`` neighbours by exact cosine. A pair seen in
-several passes counts once, as both sides know their place in all passes. Links of all passes
-together make the components. The number of passes follows from the size of the largest label, so
-that a pair at the limit is missed by all of them less than once in a thousand.
+directions, taken from the centre of the label, and compares each with its next ``WINDOW`` neighbours
+by exact cosine. A pair seen in several passes counts once, as both sides know their place in all
+passes. Links of all passes together make the components.
 
-A window is too short for a vector with more neighbours than it holds: vectors with ``DENSE`` links
-or more are compared with all vectors of their label, in blocks, and pairs that no window held are
-added. Equal vectors are one with a weight. Blocks return counts and spanning links, never all pairs.
+Each vector's chance of being missed is measured: in every pass the row ``WINDOW`` places off, on
+either side, tells how many signs a partner has to share to be in the window, and the distance to the
+centre bounds how often a partner at the limit shares one. The number of passes first follows from
+size and spread of the labels, and is raised once if these measures ask for it and the exact
+comparison would cost more. Vectors that may still be missed more often than ``MISSED``, and those
+with ``DENSE`` links or more, whose neighbours a window may not hold, are compared with all vectors
+of their label, in blocks, and pairs that no window held are added. Equal vectors are one with a weight. Blocks return counts and spanning links, never all pairs.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing, as do null
 labels, null ids and vectors of other lengths. Rows that share an id are one vector, the smallest of
@@ -23,7 +26,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import cut_lineage, forget
 from .components import components
@@ -31,11 +35,12 @@ from .components import components
 WINDOW = 64
 DENSE = 16
 BLOCK = 1024
+MISSED = 0.001
 # Rows of the two sides of a block of the exact comparison.
-SIDES = (512, 2048)
+SIDES = (2048, 4096)
 BITS = 32
 SEED = 11
-_LINKS = "rid long, other long, seen long, n long"
+_LINKS = "rid long, other long, seen long, n long, missed double"
 
 
 def near_duplicates(
@@ -64,10 +69,16 @@ def near_duplicates(
             F.first("label").alias("label"), F.first("x").alias("x"),
         ).withColumn("group", F.concat_ws(":", F.size("x").cast("string"), "label"))
     )
-    largest = once.groupBy("group").count().agg(F.max("count")).first()[0] or 0
-    placed = _placed(once, _passes(largest, window, limit))
-    links = cut_lineage(_window_links(placed, limit, window))
-    crowded = links.groupBy("rid").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= dense)
+    centres = _centres(once)
+    passes = centres.agg(F.max(_passes(window, limit))).first()[0] or 1
+    most = centres.agg(F.max(_most())).first()[0] or 1
+    once = cut_lineage(_spread(once, centres, limit))
+    placed, links, sums = _pass(once, passes, limit, window)
+    need = _raised(sums, passes)
+    if passes < need <= most:
+        forget(placed, links, sums)
+        placed, links, sums = _pass(once, need, limit, window)
+    crowded = sums.filter((F.col("seen") >= dense) | (F.col("missed") > math.log(MISSED)))
     more = cut_lineage(_dense_links(placed, cut_lineage(crowded.select("rid")), limit, window))
     links = links.union(more)
     sums = links.groupBy("rid").agg(F.sum("n").alias("n"))
@@ -85,12 +96,74 @@ def near_duplicates(
     ).withColumn("kept", F.coalesce("kept", F.lit(True)))
 
 
-def _passes(largest: int, window: int, limit: float) -> int:
-    """Passes that all miss a pair of cosine ``limit`` less than once in a thousand: it stays in one
-    window if the signs agree that tell as many vectors apart as a window doesn't hold."""
-    agree = 1 - math.acos(limit) / math.pi
-    share = agree ** max(1.0, math.log2(max(2, largest) / window) + 2)
-    return math.ceil(math.log(0.001) / math.log(1 - share))
+def _centres(once: DataFrame) -> DataFrame:
+    """``group, size, centre``: the mean of the vectors of a group, each of length one."""
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parts = [(g, len(part), _matrix(part).sum(axis=0).tolist()) for g, part in batch.groupby("group")]
+            yield pd.DataFrame(parts, columns=["group", "size", "total"])
+
+    parts = once.select("group", "x").mapInPandas(summed, "group string, size long, total array<double>")
+    sums = parts.select("group", "size", F.posexplode("total").alias("at", "total")).groupBy("group", "at").agg(
+        F.sum("size").alias("size"), F.sum("total").alias("total")
+    )
+    centre = F.array_sort(F.collect_list(F.struct("at", (F.col("total") / F.col("size")).alias("c"))))
+    return cut_lineage(sums.groupBy("group").agg(
+        F.first("size").alias("size"), F.transform(centre, lambda c: c["c"]).alias("centre")
+    ))
+
+
+def _most() -> Column:
+    """Passes beyond which comparing all vectors of a group costs less, as rows carry their places."""
+    return F.greatest(F.lit(64), F.ceil(F.sqrt("size") / 2)).cast("int")
+
+
+def _agree(square: Column, limit: float) -> Column:
+    """How often a sign is shared with a vector within the limit, at the squared distance to the centre."""
+    chord = F.least(F.lit(1.0), F.sqrt(F.lit(2 - 2 * limit) / F.greatest(square, F.lit(1e-12))))
+    return 1 - F.asin(chord) / math.pi
+
+
+def _passes(window: int, limit: float) -> Column:
+    """Passes that all miss a pair of cosine ``limit`` less than once in a thousand if signs from the
+    centre are even, for groups where they cost less than the exact comparison; else 1."""
+    square = 1 - F.aggregate("centre", F.lit(0.0), lambda a, c: a + c * c)
+    bits = F.greatest(F.lit(1.0), F.log2(F.col("size") / window) + 2)
+    need = F.ceil(math.log(MISSED) / F.log1p(-F.pow(_agree(square, limit), bits)))
+    return F.when((F.col("size") > window) & (need <= _most()), need).otherwise(1).cast("int")
+
+
+def _spread(once: DataFrame, centres: DataFrame, limit: float) -> DataFrame:
+    """Vectors with the centre of their group and ``agree``, the share of signs a partner has in common."""
+
+    def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            square = np.zeros(len(batch))
+            for _, at in batch.groupby(batch["x"].map(len)).indices.items():
+                part = batch.iloc[at]
+                square[at] = ((_matrix(part) - np.stack(part["centre"])) ** 2).sum(axis=1)
+            yield batch.assign(square=square)
+
+    rows = once.join(centres.select("group", "centre"), "group")
+    rows = rows.mapInPandas(measured, StructType([*rows.schema, StructField("square", DoubleType())]))
+    # Half a turn or more: nothing is known about a partner's signs.
+    near = F.col("square") > 2 - 2 * limit
+    return rows.withColumn("agree", F.when(near, _agree(F.col("square"), limit)).otherwise(0.0)).drop("square")
+
+
+def _pass(once: DataFrame, passes: int, limit: float, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Places in all passes, links of the windows, and their sums a vector."""
+    placed = _placed(once, passes)
+    links = cut_lineage(_window_links(placed, limit, window))
+    sums = cut_lineage(links.groupBy("rid").agg(F.sum("seen").alias("seen"), F.sum("missed").alias("missed")))
+    return placed, links, sums
+
+
+def _raised(sums: DataFrame, passes: int) -> int:
+    """Passes after which all but a twentieth of the vectors would be missed no more than ``MISSED``."""
+    need = F.least(F.lit(1e9), F.lit(passes * math.log(MISSED)) / F.least("missed", F.lit(-1e-9)))
+    return math.ceil(sums.agg(F.percentile_approx(need, 0.95)).first()[0] or 0)
 
 
 def _placed(once: DataFrame, passes: int) -> DataFrame:
@@ -100,7 +173,7 @@ def _placed(once: DataFrame, passes: int) -> DataFrame:
         for batch in batches:
             for size, part in batch.groupby(batch["x"].map(len)):
                 draw = np.random.default_rng([SEED, size]).standard_normal((size, passes * BITS))
-                signs = (np.stack(part["x"]) @ draw > 0).reshape(len(part), passes, BITS)
+                signs = ((_matrix(part) - np.stack(part["centre"])) @ draw > 0).reshape(len(part), passes, BITS)
                 keys = signs @ (1 << np.arange(BITS, dtype=np.int64))[::-1]
                 yield pd.DataFrame({
                     "rid": np.repeat(part["rid"].to_numpy(), passes),
@@ -113,23 +186,22 @@ def _placed(once: DataFrame, passes: int) -> DataFrame:
         for batch in batches:
             at = np.arange(done, done + len(batch))
             done += len(batch)
-            yield pd.DataFrame({"rid": batch["rid"], "pass": batch["pass"], "part": part, "at": at})
+            yield batch.assign(part=part, at=at)
 
     order = ["pass", "group", "key", "rid"]
-    keys = once.select("rid", "group", "x").mapInPandas(hashed, "rid long, group string, pass int, key long")
-    ranged = keys.repartitionByRange(*order).sortWithinPartitions(*order).select("rid", "pass")
-    local = cut_lineage(ranged.mapInPandas(counted, "rid long, pass int, part int, at long"))
+    keys = once.select("rid", "group", "x", "centre").mapInPandas(hashed, "rid long, group string, pass int, key long")
+    ranged = keys.repartitionByRange(*order).sortWithinPartitions(*order).select("rid", "pass", "key")
+    local = cut_lineage(ranged.mapInPandas(counted, "rid long, pass int, key long, part int, at long"))
     # A row for each partition of the sort.
     sizes = {r.part: r.n for r in local.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     base, bases = 0, {}
     for part in sorted(sizes):
         bases[part], base = base, base + sizes[part]
     start = F.element_at(F.create_map(*[F.lit(x) for kv in bases.items() for x in kv]), F.col("part")) if bases else F.lit(0)
-    places = local.groupBy("rid").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("pass", (start + F.col("at")).alias("place")))),
-        lambda s: s["place"],
-    ).alias("places"))
-    placed = cut_lineage(once.join(places, "rid"))
+    places = local.groupBy("rid").agg(
+        F.array_sort(F.collect_list(F.struct("pass", (start + F.col("at")).alias("place"), "key"))).alias("s")
+    ).select("rid", F.col("s.place").alias("places"), F.col("s.key").alias("keys"))
+    placed = cut_lineage(once.drop("centre").join(places, "rid"))
     forget(local)
     return placed
 
@@ -166,18 +238,31 @@ def _result(ids: np.ndarray, weights: np.ndarray, i: np.ndarray, j: np.ndarray,
     other[root[used] == used] = pd.NA
     return pd.DataFrame({
         "rid": ids[used], "other": other, "seen": seen[used],
-        "n": np.rint(total[used]).astype(np.int64),
+        "n": np.rint(total[used]).astype(np.int64), "missed": 0.0,
     })
 
 
+def _missed(keys: np.ndarray, agree: np.ndarray, window: int) -> np.ndarray:
+    """Logarithm of the chance that the window does not hold a partner, for sorted keys of one pass."""
+    shared = np.full(len(keys), -1)  # signs shared with the nearest rows out of the window
+    if len(keys) > window:
+        same = BITS - np.frexp((keys[window:] ^ keys[:-window]).astype(np.float64))[1]
+        shared[:-window] = same
+        shared[window:] = np.maximum(shared[window:], same)
+    found = np.where(shared < 0, 1.0, agree ** (shared + 1.0))
+    return np.log1p(-np.minimum(np.where(shared < BITS, found, 0.0), 1 - 1e-12))
+
+
 def _window_links(placed: DataFrame, limit: float, window: int) -> DataFrame:
     at = F.posexplode("places").alias("pass", "place")
-    rows = placed.select("rid", "group", "weight", "x", "places", at)
+    rows = placed.select("rid", "group", "weight", "x", "agree", "places", "keys", at)
+    rows = rows.withColumn("key", F.element_at("keys", F.col("pass") + 1)).drop("keys")
     block = F.floor(F.col("place") / BLOCK)
     first = F.col("place") % BLOCK
-    # The first rows of a block also go to the one before, whose last windows reach into it.
-    blocks = F.when((first < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
-    rows = rows.withColumn("block", F.explode(blocks))
+    # The first rows of a block also go to the one before, whose last windows reach into it, and the
+    # last ones to the one behind.
+    blocks = F.array(block, F.when(first < window, block - 1), F.when(first >= BLOCK - window, block + 1))
+    rows = rows.withColumn("block", F.explode(F.filter(blocks, lambda b: b >= 0)))
 
     def linked(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("place")
@@ -185,11 +270,12 @@ def _window_links(placed: DataFrame, limit: float, window: int) -> DataFrame:
         places, passes = np.stack(part["places"]), part["pass"].to_numpy()
         groups = pd.factorize(part["group"])[0]
         own = part["place"].to_numpy() // BLOCK == part["block"].to_numpy()
-        found = [np.zeros((0, 2), np.int64)]
+        found, missed = [np.zeros((0, 2), np.int64)], np.zeros(len(part))
         for group in np.unique(groups):  # only one length of vectors at a time
             for turn in np.unique(passes[groups == group]):
                 at = np.flatnonzero((groups == group) & (passes == turn))
                 x = _matrix(part.iloc[at])
+                missed[at] = _missed(part["key"].to_numpy()[at], part["agree"].to_numpy()[at], window)
                 for c in range(0, len(at), 256):
                     near = x[c : c + 256] @ x[c : c + 256 + window].T
                     a, b = np.nonzero(near >= limit)
@@ -200,7 +286,9 @@ def _window_links(placed: DataFrame, limit: float, window: int) -> DataFrame:
         i, j = np.concatenate(found).T
         before = np.abs(places[i] - places[j]) <= window
         before &= np.arange(places.shape[1]) < passes[i][:, None]
-        return _result(ids, weights, i, j, ~before.any(axis=1))
+        chance = pd.DataFrame({"rid": ids[own], "other": pd.NA, "seen": 0, "n": 0, "missed": missed[own]})
+        chance["other"] = chance["other"].astype("Int64")
+        return pd.concat([_result(ids, weights, i, j, ~before.any(axis=1)), chance])
 
     return rows.groupBy("block").applyInPandas(linked, _LINKS)
 
@@ -229,20 +317,24 @@ def _dense_links(placed: DataFrame, crowded: DataFrame, limit: float, window: in
         asks = part["asks"].to_numpy()
         a, b = part[asks], part[~asks]
         if not len(a) or not len(b):
-            return pd.DataFrame({"rid": [], "other": [], "seen": [], "n": []})
+            return pd.DataFrame({"rid": [], "other": [], "seen": [], "n": [], "missed": []})
         ids, place = np.unique(np.concatenate([a["rid"], b["rid"]]), return_inverse=True)
         weights = np.zeros(len(ids), np.int64)
         weights[place] = np.concatenate([a["weight"], b["weight"]])
         at_a, at_b = place[: len(a)], place[len(a) :]
         rid_a, rid_b = a["rid"].to_numpy()[:, None], b["rid"].to_numpy()[None, :]
-        # A pair of two dense vectors is compared twice, and counted from its smaller id.
-        pairs = (_matrix(a) @ _matrix(b).T >= limit) & (rid_a != rid_b)
-        pairs &= ~b["dense"].to_numpy()[None, :] | (rid_a < rid_b)
+        x, y, found = _matrix(a), _matrix(b), [np.zeros((0, 2), np.int64)]
         places_a, places_b = np.stack(a["places"]), np.stack(b["places"])
-        known = np.zeros(pairs.shape, bool)
+        for c in range(0, len(a), 256):
+            # A pair of two dense vectors is compared twice, and counted from its smaller id.
+            ours = rid_a[c : c + 256]
+            pairs = (x[c : c + 256] @ y.T >= limit) & (ours != rid_b)
+            pairs &= ~b["dense"].to_numpy()[None, :] | (ours < rid_b)
+            found.append(np.argwhere(pairs) + [c, 0])
+        i, j = np.concatenate(found).T
+        known = np.zeros(len(i), bool)
         for turn in range(places_a.shape[1]):
-            known |= np.abs(places_a[:, turn, None] - places_b[None, :, turn]) <= window
-        i, j = np.nonzero(pairs)
-        return _result(ids, weights, at_a[i], at_b[j], ~known[i, j])
+            known |= np.abs(places_a[i, turn] - places_b[j, turn]) <= window
+        return _result(ids, weights, at_a[i], at_b[j], ~known)
 
     return both.groupBy("group", "q", "r").applyInPandas(linked, _LINKS)
