@@ -37,6 +37,15 @@ def test_format_is_kept(spark, old, shape):
             assert part not in new
 
 
+@pytest.mark.parametrize("phone", ["+1 (826) 555-4081", "+49 30 1234 5678", "+442079460958"])
+@pytest.mark.parametrize("other", [
+    "190.137.223.204", "10.2.3.4", "4111 1111 1111 1111", "4111111111111111", "123-45-6789", "555-123-4567", "+33 612345678",
+])
+def test_neighbours_are_entities_of_their_own(spark, phone, other):
+    (both, n), (one, _), (two, _) = run(spark, [f"{phone} {other}", phone, other])
+    assert n == 2 and both == f"{one} {two}"
+
+
 def test_mentions_agree(spark):
     texts = ["+1 (017) 555-7713", "+1 017-555-7713", "a@b.com A@B.com x@b.com", "Mr Jan Wolf, Mrs Eva Wolf"]
     got = [t for t, _ in run(spark, texts)]

@@ -39,9 +39,14 @@ IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)"
 CARD = r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]*\d)"
 IBAN = r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])"
+LOCAL = r"(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}"
+# Groups of a phone number end before an address, a card or another number.
+GROUP = rf"(?![ -](?:{IP}|{CARD}|{SSN}))[ .-]?\d{{2,4}}"
+LATER = r"(?![ .-](?:\d{9}|\d{3}[.-]\d{3}[.-]\d{4}(?!\d)))" + GROUP
 PHONE = (
-    r"(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
-    r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"
+    r"(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}"
+    rf"|\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?\d{{2,4}}(?:{GROUP})(?:{LATER}){{0,3}}"
+    rf"|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|{LOCAL})(?!\d)"
 )
 SECRET = (
     r"(?<=(?i:token|key|secret|password|passwd|pwd)\s{0,3}[=:]\s{0,3}[\"']?)[^\s\"'=:]{8,200}"
