@@ -39,6 +39,8 @@ IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)"
 CARD = r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]*\d)"
 IBAN = r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])"
+# Country codes, none of which begins another.
+CODE = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 LOCAL = r"(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}"
 # Groups of a phone number end before an address, a card or another number.
 GROUP = rf"(?![ -](?:{IP}|{CARD}|{SSN}))[ .-]?\d{{2,4}}"
@@ -81,6 +83,11 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
+def _phone(found: Column) -> Column:
+    """The digits, behind a plus sign if the number starts with one."""
+    return F.concat(F.when(found.startswith("+"), "+").otherwise(""), _digits(found))
+
+
 def _title(found: Column) -> Column:
     return F.regexp_extract(found, f"^{TITLE}", 0)
 
@@ -109,7 +116,8 @@ def _values(found: Column) -> Column:
         F.when(kind == "email", F.array(
             one("email", mail), one("domain", F.substring_index(mail, "@", -1)),
         ))
-        .when(kind.isin("phone", "card", "ssn"), F.array(F.struct(kind.alias("kind"), _digits(found).alias("value"))))
+        .when(kind == "phone", F.array(one("phone", _phone(found))))
+        .when(kind.isin("card", "ssn"), F.array(F.struct(kind.alias("kind"), _digits(found).alias("value"))))
         .when(kind == "name", given)
         .otherwise(plain)
     )
@@ -162,8 +170,9 @@ def _luhn(digits: Column) -> Column:
 
 
 def _number(draw: _Draw, kind: Column, digits: Column) -> Column:
-    """New digits; of a card number with the right check digit the last one makes it right again."""
-    drawn = draw.alike(digits)
+    """New digits behind a country code; of a card number with the right check digit the last one makes
+    it right again."""
+    drawn = draw.alike(digits, F.length(F.regexp_extract(digits, CODE, 0)))
     start = F.concat(F.left(drawn, F.length(drawn) - 1), F.lit("0"))
     check = F.pmod(-_luhn(start), F.lit(10)).cast("string")
     checked = F.concat(F.left(drawn, F.length(drawn) - 1), check)
@@ -218,13 +227,11 @@ def _replaced(key: str, found: Column, attempts: Column | None) -> Column:
 
     drawn = F.transform(_values(found), new)
     first = drawn[0]
-    kept = F.when(
-        first["kind"] == "phone", F.length(_digits(F.regexp_extract(found, r"^\+\d{1,3}", 0)))
-    ).otherwise(0)
+    fresh = _digits(first["new"])
 
     def digit(c: Column, i: Column) -> Column:
         nth = F.length(_digits(F.left(found, i + 1)))
-        return F.when(c.rlike("[0-9]") & (nth > kept), F.substring(first["new"], nth, F.lit(1))).otherwise(c)
+        return F.when(c.rlike("[0-9]"), F.substring(fresh, nth, F.lit(1))).otherwise(c)
 
     numbers = F.array_join(F.transform(F.split(found, ""), digit), "")
     local = F.array_join(F.zip_with(
