@@ -98,6 +98,20 @@ def test_written_phones_stay_distinct(spark):
     assert all(re.fullmatch(r"\+423 \d\d \d\d\d*", t) for t in got)
 
 
+def test_short_formats_do_not_run_out(spark):
+    texts = [f"{c}@example.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    texts += [f"ann@{c}.co" for c in "abcdefghijklmnopqrstuvwxyz"] + ["password: ********"]
+    texts += [f"+423 {i // 100:02} {i % 100:02}" for i in range(10_000)]
+    got = [t for t, _ in run(spark, texts)]
+    assert len(set(got)) == len(texts) and not set(got) & set(texts)
+
+
+def test_clashes_left_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(pii, "ROUNDS", 1)
+    with pytest.raises(ValueError):
+        run(spark, [f"{c}@example.com" for c in "abcdefghijklmnopqrstuvwxyz"])
+
+
 def test_query_leaves_no_value_behind(spark):
     sf_dir = "/root/testdata/sf0.01"
     old = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}

@@ -10,7 +10,9 @@ words. Phone numbers written in two ways, and an e-mail address in two cases, ar
 domains and the words of a name are values of their own, so colleagues and relatives stay together.
 
 Two values must not share a surrogate, and no surrogate may be a value of the corpus. Both are
-checked over all values; the ones that fail are drawn again until none is left. The few redrawn
+checked over all values; the ones that fail are drawn again until none is left. After a few draws each
+further one is longer by a sign (all kinds but IP addresses), so short formats don't run out of free
+surrogates; a clash left after ``ROUNDS`` draws is an error. The few redrawn
 values travel as a literal up to ``BOUND`` of them, and by joins beyond it.
 
 Only DataFrame functions are used and texts stay in place. Null and empty texts stay as they are,
@@ -21,13 +23,16 @@ name of the count is replaced.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage, forget
 
 BOUND = 10_000
-ROUNDS = 20
+ROUNDS = 60
+# Draws that keep the length; every later one is longer by a sign.
+SAME_LENGTH = 6
 
 # Titles, by gender.
 MEN = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "господин", "Г-н", "Κύριος")
@@ -159,6 +164,12 @@ class _Draw:
 
         return F.array_join(F.transform(F.split(value, ""), sign), "")
 
+    def more(self, sign: Callable[[Column], Column], value: Column) -> Column:
+        """Signs behind those of ``value``, one for every draw beyond ``SAME_LENGTH``."""
+        count = self.attempt - SAME_LENGTH
+        signs = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), count - 1)), lambda i: sign(F.length(value) + i))
+        return F.when(count > 0, F.array_join(signs, "")).otherwise("")
+
 
 def _luhn(digits: Column) -> Column:
     """Sum of the check digit rule over ``digits``; a multiple of ten is right."""
@@ -173,6 +184,7 @@ def _number(draw: _Draw, kind: Column, digits: Column) -> Column:
     """New digits behind a country code; of a card number with the right check digit the last one makes
     it right again."""
     drawn = draw.alike(digits, F.length(F.regexp_extract(digits, CODE, 0)))
+    drawn = F.concat(drawn, draw.more(draw.digit, digits))
     start = F.concat(F.left(drawn, F.length(drawn) - 1), F.lit("0"))
     check = F.pmod(-_luhn(start), F.lit(10)).cast("string")
     checked = F.concat(F.left(drawn, F.length(drawn) - 1), check)
@@ -204,15 +216,20 @@ def _drawn(key: str, kind: Column, value: Column, attempt: Column) -> Column:
         F.pmod(F.conv(F.substring(draw.hex, i * 4 + 1, F.lit(4)), 16, 10).cast("int"), F.lit(254)) + 1
     ).cast("string")), ".")
     last = F.length(value) - F.length(F.substring_index(value, ".", -1))
-    domain = F.concat(draw.alike(F.left(value, last)), F.substring_index(value, ".", -1))
+    domain = F.concat(
+        draw.more(draw.letter, value), draw.alike(F.left(value, last)), F.substring_index(value, ".", -1)
+    )
+    local = F.substring_index(value, "@", 1)
+    hexed = value.rlike("^[0-9a-f]+$")
+    extra = F.when(hexed, draw.more(draw.sign, value)).otherwise(draw.more(draw.letter, value))
     return (
-        F.when(kind == "email", draw.alike(F.substring_index(value, "@", 1)))
+        F.when(kind == "email", F.concat(draw.alike(local), draw.more(draw.letter, local)))
         .when(kind == "domain", domain)
         .when(kind == "ip", octets)
-        .when(kind == "iban", draw.alike(value, 2))
+        .when(kind == "iban", F.concat(draw.alike(value, 2), draw.more(draw.digit, value)))
         .when(kind.isin("phone", "card", "ssn"), _number(draw, kind, value))
         .when(kind.isin("family", "given_m", "given_f"), _word(draw, kind, value))
-        .otherwise(draw.alike(value, 0, value.rlike("^[0-9a-f]+$")))
+        .otherwise(F.concat(draw.alike(value, 0, hexed), extra))
     )
 
 
@@ -233,7 +250,10 @@ def _replaced(key: str, found: Column, attempts: Column | None) -> Column:
         nth = F.length(_digits(F.left(found, i + 1)))
         return F.when(c.rlike("[0-9]"), F.substring(fresh, nth, F.lit(1))).otherwise(c)
 
-    numbers = F.array_join(F.transform(F.split(found, ""), digit), "")
+    numbers = F.concat(
+        F.array_join(F.transform(F.split(found, ""), digit), ""),
+        F.substring(fresh, F.length(_digits(found)) + 1, F.length(fresh)),
+    )
     local = F.array_join(F.zip_with(
         F.split(F.substring_index(found, "@", 1), ""), F.split(first["new"], ""),
         lambda old, new: F.when(old.rlike(r"\p{Lu}"), F.upper(new)).otherwise(new),
@@ -279,6 +299,8 @@ def _redrawn(values: DataFrame, key: str) -> DataFrame:
         state = cut_lineage(state.join(again, "tag", "left").withColumn(
             "attempt", F.col("attempt") + F.coalesce("more", F.lit(0))
         ).drop("more"))
+    else:
+        raise ValueError(f"surrogates still clash after {ROUNDS} draws")
     return state.filter("attempt > 0").select("tag", "attempt")
 
 
