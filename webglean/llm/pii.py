@@ -48,7 +48,7 @@ IBAN = r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?
 CODE = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 LOCAL = r"(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}"
 # Groups of a phone number end before an address, a card or another number.
-GROUP = rf"(?![ -](?:{IP}|{CARD}|{SSN}))[ .-]?\d{{2,4}}"
+GROUP = rf"(?![ -](?:{IP}|{CARD}(?![ -]\d{{4}})|{SSN}))[ .-]?\d{{2,4}}"
 LATER = r"(?![ .-](?:\d{9}|\d{3}[.-]\d{3}[.-]\d{4}(?!\d)))" + GROUP
 PHONE = (
     r"(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}"
@@ -56,8 +56,8 @@ PHONE = (
     rf"|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|{LOCAL})(?!\d)"
 )
 SECRET = (
-    r"(?<=(?i:token|key|secret|password|passwd|pwd)\s{0,3}[=:]\s{0,3}[\"']?)[^\s\"'=:]{8,200}"
-    r"|(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])"
+    r"(?<=(?i:token|key|secret|password|passwd|pwd)\s{0,3}[=:]\s{0,3}[\"']?)[^\s\"'=:]{8,}+"
+    r"|(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])"
 )
 TITLE = r"(?:" + "|".join(sorted(MEN + WOMEN + OTHERS, key=len, reverse=True)) + r")\.? "
 WORD = r"\p{Lu}[\p{L}'’-]{1,40}"
