@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
-from . import bpe, chat, decontam, embed_neardup, jaccard_join, pii, quality, sharding, token_files, toxicity
+from . import (
+    bpe, chat, clusters, decontam, embed_neardup, jaccard_join, mixing, pii, quality, resampling,
+    sharding, token_files, toxicity,
+)
 from .labels import held_out
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -159,6 +162,125 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to weights of 5, 2, 1 in turn, each source at most three times."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(docs, mixing.cycled_weights(docs, (5, 2, 1)))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+# Sources in the order in which they are clamped: the first that is not sets the level.
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(text), '')) AS draw FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(3 * sum(size) AS DOUBLE) AS cap,
+    CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight
+  FROM d GROUP BY source
+), f AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words_left,
+    sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left
+  FROM s WINDOW o AS (ORDER BY cap / weight, source)
+), l AS (
+  SELECT CAST(words_left AS DOUBLE) AS words_left, weight_left FROM f
+  WHERE weight * words_left <= cap * weight_left ORDER BY cap / weight, source LIMIT 1
+), t AS (
+  SELECT source, source_size, least(cap, weight * words_left / weight_left) AS target,
+    coalesce(floor(least(cap, weight * words_left / weight_left) / nullif(CAST(source_size AS DOUBLE), 0)), 0) AS whole
+  FROM s, l
+), u AS (
+  SELECT d.*, target, source_size, whole, target - whole * source_size AS rest,
+    sum(size) OVER (PARTITION BY d.source ORDER BY draw RANGE UNBOUNDED PRECEDING) AS ends,
+    sum(size) OVER (PARTITION BY d.source, draw) AS unit
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (whole + CASE WHEN 2 * ends - unit <= 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM u
+"""
+
+
+def op12_geometric_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings in eight clusters after ten rounds."""
+    found = clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return clusters.with_inertia(found).withColumnRenamed("key", "vec_id")
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Every round as two tables: the centroids ``c``, and the assignment ``a`` of all vectors."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, arg_min(c, d * 8 + c) AS c, min(d) AS d FROM (
+    SELECT vec_id, c, sum((x - y) * (x - y)) AS d FROM k JOIN c{r} USING (i) GROUP BY vec_id, c) GROUP BY vec_id)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c, i, coalesce((total - ((total % n) + n) % n) // n, y) AS y FROM c{r} LEFT JOIN (
+    SELECT c, i, CAST(sum(x) AS BIGINT) AS total, count(*) AS n FROM k JOIN a{r} USING (vec_id) GROUP BY c, i) USING (c, i))""")
+    return ",\n".join(steps)
+
+
+OP12_SQL = f"""
+WITH k AS MATERIALIZED (
+  SELECT vec_id, unnest(range(1, 65)) AS i,
+    unnest(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS x
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: isfinite(x))) = 64 AND len(embedding) = 64
+), c0 AS MATERIALIZED (
+  SELECT c, i, x AS y FROM k JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM (SELECT DISTINCT vec_id FROM k)
+    QUALIFY c < 8) USING (vec_id)
+), {_rounds_sql(10)}, names AS (
+  SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c10 GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  centroid_sha256 FROM a10 JOIN names USING (c)
+"""
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of all documents that have 20 words, drawn towards the benchmark texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gain = resampling.gains(
+        resampling.bucket_counts(docs), resampling.bucket_counts(table(spark, sf_dir, "benchmark"))
+    )
+    return resampling.draw(resampling.score(docs, gain).drop("text")).drop("n_words")
+
+
+# The checksum is taken once for every different word: byte by byte, with its table made by shifts.
+OP13_SQL = r"""
+WITH step AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(CAST(b AS BIGINT), CAST(range(8) AS BIGINT[])),
+    lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc),
+words AS MATERIALIZED (
+  SELECT side, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT 's' AS side, doc_id, text FROM documents UNION ALL SELECT 't', NULL, text FROM benchmark)
+), hashed AS MATERIALIZED (
+  SELECT w, (4294967295 - list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(range(octet_length(encode(w))), lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b: xor(c // 256, crc[xor(c, b) % 256 + 1]))) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM words), step
+), counts AS (
+  SELECT bucket, CAST(count(*) FILTER (side = 's') AS DOUBLE) AS s, CAST(count(*) FILTER (side = 't') AS DOUBLE) AS t
+  FROM words JOIN hashed USING (w) GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * ((sum(s) OVER ()) + 10000) / ((s + 1) * ((sum(t) OVER ()) + 10000)))) AS BIGINT) AS gain FROM counts
+), weights AS (
+  SELECT doc_id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS g FROM words JOIN hashed USING (w) JOIN gains USING (bucket)
+  WHERE side = 's' GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce((g - ((g % n) + n) % n) // n, 0) AS weight,
+    CAST(floor(-1000 * ln(-ln((CAST('0x' || left(sha256('2024:' || d.doc_id), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS noise
+  FROM documents d LEFT JOIN weights USING (doc_id)
+), placed AS (
+  SELECT doc_id, n_features, weight, weight + noise AS score,
+    row_number() OVER (PARTITION BY n_features >= 20 ORDER BY weight + noise DESC, doc_id) AS place FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND place <= (SELECT count(*) FROM scored WHERE n_features >= 20) * 10 // 100 THEN place END AS rank
+FROM placed
+"""
+
+
 REGISTERED = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -170,9 +292,15 @@ REGISTERED = {
     "op8_surrogates": op8_surrogates,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_prefix_bpe": op10_prefix_bpe,
+    "op11_water_filling": op11_water_filling,
+    "op12_geometric_drift": op12_geometric_drift,
+    "op13_importance": op13_importance,
 }
 
 SQL: dict[str, str] = {
     "op7_chat": OP7_SQL,
     "op9_jaccard_join": OP9_SQL,
+    "op11_water_filling": OP11_SQL,
+    "op12_geometric_drift": OP12_SQL,
+    "op13_importance": OP13_SQL,
 }
