@@ -27,6 +27,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.scan import numbered
+from ..session import cut_lineage, forget
+
+_RANK = "__rank__"
 
 BUCKETS = 10_000
 PIECE = 1 << 20
@@ -181,7 +184,9 @@ def draw(scored: DataFrame, percent: int = 10, min_words: int = 20, key: str = "
         F.when(able, F.col("score")).desc_nulls_last(), F.col(key).asc_nulls_last(),
         F.col("n_features").asc(), F.col("weight").asc(),
     ]
+    # Counted, sampled for the ranges and dealt out: written once, so texts are scored once.
+    scored = cut_lineage(scored.drop("rank"))
     drawn = scored.filter(able).count() * percent // 100
-    placed = numbered(scored, order, "_rank")
-    rank = F.when(F.col("_rank") <= drawn, F.col("_rank")).alias("rank")
-    return placed.select(*[c for c in scored.columns if c != "rank"], rank)
+    placed = numbered(scored, order, _RANK)
+    forget(scored)
+    return placed.withColumn("rank", F.when(F.col(_RANK) <= drawn, F.col(_RANK))).drop(_RANK)
