@@ -16,7 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     path = f"{sf_dir}/{name}.parquet"
     df = spark.read.parquet(path)
     if spread and os.path.isfile(path) and os.path.getsize(path) < SMALL_FILE:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
+        # By the id: dealing rows out in turn would sort them first, to be repeatable.
+        df = df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
     return df
 
 

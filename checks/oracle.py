@@ -302,6 +302,7 @@ FROM trimmed""",
     "o16_search": f"""WITH {CORPUS}, asks AS (SELECT 0 AS query_idx, 'the and of their inside' AS query), {_ranked(25)}
 SELECT rank, url, title, text, score FROM ranked JOIN corpus USING (doc_id)""",
     "o17_search_batch": f"WITH {BATCH} SELECT * FROM hits",
+    "o17_search_batch_bounded": f"WITH {BATCH} SELECT * FROM hits",
     "o18_fetch_snapshot": f"""WITH {PAGE_URLS}, {ROBOTS}, {RESPONSES},
 wanted AS (SELECT {_strip('url')} AS url, min(position) AS position FROM asked GROUP BY 1)
 SELECT w.url, position, coalesce(final_url, w.url) AS final_url, coalesce(status, 404) AS status, content_type,

@@ -154,6 +154,13 @@ def o17_search_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch(spark, sf_dir)
 
 
+def o17_search_batch_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows where every term in more than 20 documents counts as common."""
+    return search.search_batch(
+        inputs.valid_queries(spark, sf_dir), inputs.corpus(spark, sf_dir), 10, rare_docs=20
+    )
+
+
 def o18_fetch_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     urls = pages.dedupe_urls(inputs.page_urls(spark, sf_dir))
     found = pages.fetch_snapshot(urls, inputs.responses(spark, sf_dir))
