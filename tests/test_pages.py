@@ -48,6 +48,13 @@ def test_text_behind_inner_blocks_and_nested_noise(spark):
         ("<nav><p>x</p> <nav>y</nav> <p>z</p></nav><p>a</p>", "a"),
         ("<aside><p>x</p> <form>y <aside>z</aside></form> <p>w</p></aside><p>a</p>", "a"),
         ("<p>a</p><nav>never closed <p>b</p>", "a\nb"),
+        ("<article><p>one</p><article><p>reply</p></article><p>tail kept</p></article><p>out</p>", "one\nreply\ntail kept"),
+        ("<article><p>open</p><article><p>in</p></article> <p>to the end</p>", "open\nin\nto the end"),
+        ("</main><main><main></main><p>a</p></main><p>out</p>", "a"),
+        ("<p>0</p></nav><nav><p>x</p></nav><p>1</p><form><nav></form><p>2</p><aside><p>y</p></aside></nav><p>3</p>", "0\n1\n2\n3"),
+        ("<NAV>x<Svg/></nav><p>a</p><svg>y", "a"),
+        ("<p>a</p>" + "".join(f"<nav><p>p{i}</p>" for i in range(1000)) + "</nav>" * 1000 + "<p>b</p>", "a\nb"),
+        ("<article><p>1</p>" * 1000 + "</article>" * 999 + "<p>2</p></article><p>out</p>", "1\n" * 1000 + "2"),
     ]
     got = extracted(spark, *[text for text, _ in cases])
     assert [text for _, text in got] == [want for _, want in cases]
@@ -55,7 +62,8 @@ def test_text_behind_inner_blocks_and_nested_noise(spark):
 
 @pytest.mark.parametrize("unit, size", [
     ("<button>x ", 2_000_000), ("<a ", 2_000_000), ("<title>", 2_000_000), ("<meta property ", 2_000_000),
-    ("<h1>x ", 400_000), ("<nav><p>x", 400_000), ("<li>a<p>b</p>c", 400_000),
+    ("<h1>x ", 400_000), ("<nav><p>x", 2_000_000), ("<li>a<p>b</p>c", 400_000), ("<article>", 2_000_000),
+    ("<article ", 2_000_000), ("</nav><aside>", 2_000_000), ("<form><p>x</p></form>", 2_000_000),
 ])
 def test_large_broken_pages_take_seconds(spark, unit, size):
     started = time.time()

@@ -1,13 +1,14 @@
 """HTML expressions: title, noise removal, main root and block text.
 
 Every pattern runs in about one pass over the text: where it looks for an end that can be missing, it
-is given only the text up to the last such end. They are meant for real-world markup and are not a
+is given only the text up to the last such end. Opens and closes are matched over one stream of tags
+with running depths, so elements may nest as deep as they like. The patterns are meant for real-world markup and are not a
 full parser. Text of nested blocks (``li`` holding ``p``) is reported once, also behind the inner one.
 """
 
 from __future__ import annotations
 
-from functools import partial
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
@@ -34,8 +35,6 @@ def _element(tag: str, end: str = "") -> str:
 HIDDEN = r"(?is)<!--.*?(?:-->|\z)|" + "|".join(_element(t, r"|\z") for t in RAW_TEXT_TAGS)
 BLOCK_OPEN = rf"(?i)<{_BLOCKS}{_ATTRS}/?>"
 BLOCK_CLOSE = rf"(?i)</{_BLOCKS}\s*>"
-# An element of one noise name inside another of that name, so often.
-NOISE_DEPTH = 16
 TAG = r"</?[a-zA-Z][^>]*>|<[!?][^>]*>"
 ANY_TAG = r"<[^>]+>"
 ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
@@ -95,24 +94,127 @@ def strip_hidden(html: Column) -> Column:
     return F.regexp_replace(html, HIDDEN, "")
 
 
+def running(items: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """``step(state, item)`` after every item of an array; the state is a number and begins at 0.
+
+    States are collected in runs of about the square root of n, as adding to an array copies it.
+    """
+    def after(acc: Column, item: Column) -> Column:
+        return let(step(acc["state"], item).cast("int"), lambda state: F.struct(
+            state.alias("state"), F.concat(acc["out"], F.array(state)).alias("out")
+        ))
+
+    def run_after(acc: Column, part: Column) -> Column:
+        start = F.struct(acc["state"].alias("state"), F.array().cast("array<int>").alias("out"))
+        return let(F.aggregate(part, start, after), lambda done: F.struct(
+            done["state"].alias("state"), F.concat(acc["out"], F.array(done["out"])).alias("out")
+        ))
+
+    def states(items: Column, run: Column) -> Column:
+        parts = F.transform(
+            F.sequence(F.lit(1), F.size(items), run), lambda start: F.slice(items, start, run)
+        )
+        begin = F.struct(
+            F.lit(0).alias("state"), F.array().cast("array<array<int>>").alias("out")
+        )
+        return F.flatten(F.aggregate(parts, begin, run_after)["out"])
+
+    return let(items, lambda items: F.when(F.size(items) > 0, let(
+        F.ceil(F.sqrt(F.size(items))).cast("int"), lambda run: states(items, run)
+    )).otherwise(F.array().cast("array<int>")))
+
+
+def _sign(tag: Column) -> Column:
+    return F.when(F.startswith(tag, F.lit("</")), -1).otherwise(1)
+
+
+def _spans(tags: Column) -> Column:
+    """``(at, to)`` of every element that no other one surrounds: places of its open and close among
+    ``tags``. Opens and closes of a name are matched innermost first; others stay alone."""
+    marks = F.transform(tags, lambda tag, at: F.struct(
+        F.lower(F.regexp_extract(tag, "([a-zA-Z]+)", 1)).alias("name"), at.alias("at"), _sign(tag).alias("sign")
+    ))
+
+    def stepped(marks: Column) -> Column:
+        # One name behind the other; the depth begins anew with each.
+        return F.transform(marks, lambda m, k: F.struct(
+            m["name"].alias("name"), m["at"].alias("at"), m["sign"].alias("sign"),
+            ((k == 0) | (F.get(marks, k - 1)["name"] != m["name"])).alias("first"),
+        ))
+
+    def leveled(marks: Column, depths: Column) -> Column:
+        def level(m: Column, k: Column) -> Column:
+            before = F.when(m["first"], 0).otherwise(F.get(depths, k - 1))
+            return F.when(m["sign"] > 0, before + 1).otherwise(before)
+
+        events = F.transform(marks, lambda m, k: F.struct(
+            m["name"].alias("name"), level(m, k).alias("level"), m["at"].alias("at"), m["sign"].alias("sign")
+        ))
+        # A close without an open has level 0. Opens and closes of one level take turns.
+        return F.array_sort(F.filter(events, lambda e: e["level"] > 0))
+
+    def paired(events: Column) -> Column:
+        def pair(e: Column, k: Column) -> Column:
+            after = F.get(events, k + 1)
+            same = (after["name"] == e["name"]) & (after["level"] == e["level"])
+            return F.when((e["sign"] > 0) & same, F.struct(e["at"].alias("at"), after["at"].alias("to")))
+
+        return F.array_sort(F.array_compact(F.transform(events, pair)))
+
+    def outermost(spans: Column) -> Column:
+        # Crossing elements: the close of the outer one ends the inner one, too.
+        def end(before: Column, span: Column) -> Column:
+            return F.when(span["at"] >= before, span["to"] + 1).otherwise(before)
+
+        return let(running(spans, end), lambda ends: F.filter(
+            spans, lambda span, k: (k == 0) | (span["at"] >= F.get(ends, k - 1))
+        ))
+
+    def depth(state: Column, m: Column) -> Column:
+        return F.greatest(F.lit(0), F.when(m["first"], 0).otherwise(state) + m["sign"])
+
+    events = let(F.array_sort(marks), lambda marks: let(stepped(marks), lambda marks: let(
+        running(marks, depth), lambda depths: leveled(marks, depths)
+    )))
+    return let(events, lambda events: let(paired(events), outermost))
+
+
+def _tag_stream(names: tuple[str, ...]) -> str:
+    return rf"(?i)</?(?:{'|'.join(names)}){_ATTRS}>"
+
+
 def strip_noise(html: Column) -> Column:
-    """Drop page furniture with its content. Expects ``strip_hidden`` output.
+    """Drop page furniture with its content, at any depth. Expects ``strip_hidden`` output.
 
-    Opens and closes of a name are marked; what stands between two marks that meet goes, the
-    innermost first. A mark without its partner keeps its tag.
+    A tag without its partner stays, and so does what stands behind it.
     """
-    def without(tag: str, text: Column) -> Column:
-        marked = F.regexp_replace(text, rf"(?i)<{tag}{_ATTRS}>", _OPEN + "$0")
-        marked = F.regexp_replace(marked, rf"(?i)</{tag}\s*>", "$0" + _CLOSE)
-        inner = f"{_OPEN}[^{_OPEN}{_CLOSE}]*{_CLOSE}"
-        rounds = F.sequence(F.lit(1), F.lit(NOISE_DEPTH))
-        bare = F.aggregate(rounds, marked, lambda t, _: F.regexp_replace(t, inner, ""))
-        return F.when(text.rlike(rf"(?i)</{tag}"), F.translate(bare, _OPEN + _CLOSE, "")).otherwise(text)
+    pattern = _tag_stream(NOISE_TAGS)
 
-    html = F.translate(html, _OPEN + _CLOSE, "")
-    for tag in NOISE_TAGS:
-        html = let(html, partial(without, tag))
-    return html
+    def without(pieces: Column, tags: Column, spans: Column) -> Column:
+        # The piece before a span, and from the close of each the pieces and tags up to the next.
+        def stretch(start: Column, stop: Column) -> Column:
+            count = stop - start
+            loose = F.zip_with(
+                F.slice(tags, start + 1, count), F.slice(pieces, start + 2, count), lambda tag, piece: F.concat(tag, piece)
+            )
+            return F.concat(F.get(pieces, start), F.array_join(loose, ""))
+
+        def behind(span: Column, k: Column) -> Column:
+            stop = F.coalesce(F.get(spans, k + 1)["at"], F.size(tags))
+            return stretch(span["to"] + 1, stop)
+
+        first = stretch(F.lit(0), F.get(spans, F.lit(0))["at"])
+        return F.concat(first, F.array_join(F.transform(spans, behind), ""))
+
+    def bare(text: Column, head: Column) -> Column:
+        rest = F.substring(text, F.length(head) + 1, F.length(text))
+        tags = F.regexp_extract_all(head, F.lit(pattern), F.lit(0))
+        kept = let(tags, lambda tags: let(_spans(tags), lambda spans: F.when(F.size(spans) > 0, let(
+            F.split(head, pattern), lambda pieces: without(pieces, tags, spans)
+        )).otherwise(head)))
+        return F.concat(kept, rest)
+
+    return let(html, lambda text: let(_up_to_last(text, ">"), lambda head: bare(text, head)))
 
 
 def extract_title(html: Column) -> Column:
@@ -135,37 +237,48 @@ def extract_title(html: Column) -> Column:
     )
 
 
+def _element_text(html: Column, name: str) -> Column:
+    """The first element of a name with its tags, up to its own close or the end; null without one."""
+    pattern = _tag_stream((name,))
+
+    def cut(head: Column, rest: Column, tags: Column, start: Column) -> Column:
+        pieces = F.split(head, pattern)
+        inner = F.slice(tags, start, F.size(tags))
+        closed = F.array_position(running(F.transform(inner, _sign), lambda n, step: n + step), F.lit(0)).cast("int")
+        count = F.when(closed > 0, closed).otherwise(F.size(inner))
+        whole = let(pieces, lambda pieces: F.array_join(F.zip_with(
+            F.slice(inner, F.lit(1), count), F.slice(pieces, start + 1, count), lambda tag, piece: F.concat(tag, piece)
+        ), ""))
+        # The last piece stands behind the close.
+        behind = F.length(F.get(pieces, start + closed - 1))
+        return let(whole, lambda whole: F.when(
+            closed > 0, F.left(whole, F.length(whole) - behind)
+        ).otherwise(F.concat(whole, rest)))
+
+    def element(text: Column, head: Column) -> Column:
+        rest = F.substring(text, F.length(head) + 1, F.length(text))
+        tags = F.regexp_extract_all(head, F.lit(pattern), F.lit(0))
+        return let(tags, lambda tags: let(
+            F.array_position(F.transform(tags, _sign), F.lit(1)).cast("int"),
+            lambda start: F.when(start > 0, cut(head, rest, tags, start)),
+        ))
+
+    return let(html, lambda text: let(_up_to_last(text, ">"), lambda head: element(text, head)))
+
+
 def pick_root(html: Column) -> Column:
     """The first ``article``, else ``main``, else ``body``, else everything.
 
-    An element that exists but is empty is still the root. A missing close runs to the end.
+    An element that exists but is empty is still the root. One of the same name inside it is a part of
+    it. A missing close runs to the end.
     """
-    found = [
-        blank_to_null(F.regexp_extract(html, rf"(?is)<{t}{_ATTRS}>.*?(?:</{t}\s*>|\z)", 0))
-        for t in ROOT_TAGS
-    ]
-    return F.coalesce(*found, html)
-
-
-def _depths(steps: Column) -> Column:
-    """Running sum of +1 and -1, never below 0: how many blocks are open. Sums start anew from every
-    square root of n steps, so no step is added up n times."""
-    def fold(start: Column, part: Column) -> Column:
-        return F.aggregate(part, start, lambda n, step: F.greatest(F.lit(0), n + step))
-
-    def summed(steps: Column, run: Column) -> Column:
-        starts = F.transform(
-            F.sequence(F.lit(0), (F.size(steps) / run).cast("int")),
-            lambda k: fold(F.lit(0), F.slice(steps, F.lit(1), k * run)),
-        )
-        return let(starts, lambda starts: F.transform(steps, lambda _, i: fold(
-            F.get(starts, (i / run).cast("int")),
-            F.slice(steps, (i / run).cast("int") * run + 1, F.pmod(i, run) + 1),
-        )))
+    def pick(text: Column) -> Column:
+        found = [
+            F.when(text.rlike(rf"(?i)<{name}[\s>]"), _element_text(text, name)) for name in ROOT_TAGS
+        ]
+        return F.coalesce(*found, text)
 
-    return let(steps, lambda steps: let(
-        F.ceil(F.sqrt(F.greatest(F.size(steps), F.lit(1)))).cast("int"), lambda run: summed(steps, run)
-    ))
+    return let(html, pick)
 
 
 def block_text(root: Column) -> Column:
@@ -185,7 +298,8 @@ def block_text(root: Column) -> Column:
         steps = F.transform(pieces, lambda p: F.when(F.startswith(p, F.lit(_OPEN)), 1).when(
             F.startswith(p, F.lit(_CLOSE)), -1
         ).otherwise(0))
-        inside = F.zip_with(pieces, _depths(steps), lambda p, depth: F.when(
+        depths = running(steps, lambda depth, step: F.greatest(F.lit(0), depth + step))
+        inside = F.zip_with(pieces, depths, lambda p, depth: F.when(
             depth > 0, inline_text(F.translate(p, _OPEN + _CLOSE, ""))
         ))
         return F.array_join(F.filter(inside, lambda line: F.coalesce(line, F.lit("")) != ""), "\n")
