@@ -97,7 +97,8 @@ def strip_hidden(html: Column) -> Column:
 def running(items: Column, step: Callable[[Column, Column], Column]) -> Column:
     """``step(state, item)`` after every item of an array; the state is a number and begins at 0.
 
-    States are collected in runs of about the square root of n, as adding to an array copies it.
+    States are collected in runs, as adding to an array copies it. Runs of the cube root of 2n copy
+    the least: n times half a run, and half the square of the number of runs.
     """
     def after(acc: Column, item: Column) -> Column:
         return let(step(acc["state"], item).cast("int"), lambda state: F.struct(
@@ -111,16 +112,17 @@ def running(items: Column, step: Callable[[Column, Column], Column]) -> Column:
         ))
 
     def states(items: Column, run: Column) -> Column:
-        parts = F.transform(
-            F.sequence(F.lit(1), F.size(items), run), lambda start: F.slice(items, start, run)
-        )
+        # By place: "slice" would go through the whole array for every run.
+        parts = F.transform(F.sequence(F.lit(0), F.size(items) - 1, run), lambda start: F.transform(
+            F.sequence(start, F.least(start + run, F.size(items)) - 1), lambda at: F.get(items, at)
+        ))
         begin = F.struct(
             F.lit(0).alias("state"), F.array().cast("array<array<int>>").alias("out")
         )
         return F.flatten(F.aggregate(parts, begin, run_after)["out"])
 
     return let(items, lambda items: F.when(F.size(items) > 0, let(
-        F.ceil(F.sqrt(F.size(items))).cast("int"), lambda run: states(items, run)
+        F.ceil(F.cbrt(2 * F.size(items))).cast("int"), lambda run: states(items, run)
     )).otherwise(F.array().cast("array<int>")))
 
 
@@ -193,11 +195,10 @@ def strip_noise(html: Column) -> Column:
     def without(pieces: Column, tags: Column, spans: Column) -> Column:
         # The piece before a span, and from the close of each the pieces and tags up to the next.
         def stretch(start: Column, stop: Column) -> Column:
-            count = stop - start
-            loose = F.zip_with(
-                F.slice(tags, start + 1, count), F.slice(pieces, start + 2, count), lambda tag, piece: F.concat(tag, piece)
-            )
-            return F.concat(F.get(pieces, start), F.array_join(loose, ""))
+            loose = F.when(stop > start, F.array_join(F.transform(
+                F.sequence(start, stop - 1), lambda at: F.concat(F.get(tags, at), F.get(pieces, at + 1))
+            ), "")).otherwise("")
+            return F.concat(F.get(pieces, start), loose)
 
         def behind(span: Column, k: Column) -> Column:
             stop = F.coalesce(F.get(spans, k + 1)["at"], F.size(tags))
@@ -241,19 +242,26 @@ def _element_text(html: Column, name: str) -> Column:
     """The first element of a name with its tags, up to its own close or the end; null without one."""
     pattern = _tag_stream((name,))
 
-    def cut(head: Column, rest: Column, tags: Column, start: Column) -> Column:
-        pieces = F.split(head, pattern)
-        inner = F.slice(tags, start, F.size(tags))
-        closed = F.array_position(running(F.transform(inner, _sign), lambda n, step: n + step), F.lit(0)).cast("int")
+    def until(head: Column, rest: Column, inner: Column, start: Column, closed: Column) -> Column:
         count = F.when(closed > 0, closed).otherwise(F.size(inner))
-        whole = let(pieces, lambda pieces: F.array_join(F.zip_with(
-            F.slice(inner, F.lit(1), count), F.slice(pieces, start + 1, count), lambda tag, piece: F.concat(tag, piece)
-        ), ""))
-        # The last piece stands behind the close.
-        behind = F.length(F.get(pieces, start + closed - 1))
-        return let(whole, lambda whole: F.when(
-            closed > 0, F.left(whole, F.length(whole) - behind)
-        ).otherwise(F.concat(whole, rest)))
+        units = let(F.split(head, pattern), lambda pieces: F.zip_with(
+            F.slice(inner, F.lit(1), count), F.slice(pieces, start + 1, count),
+            lambda tag, piece: F.struct(tag.alias("tag"), piece.alias("piece")),
+        ))
+        # What stands behind the close is no part of the element.
+        texts = F.transform(units, lambda unit, k: F.when(k + 1 == closed, unit["tag"]).otherwise(
+            F.concat(unit["tag"], unit["piece"])
+        ))
+        return F.concat(F.array_join(texts, ""), F.when(closed > 0, "").otherwise(rest))
+
+    def cut(head: Column, rest: Column, tags: Column, start: Column) -> Column:
+        def closing(inner: Column) -> Column:
+            depths = running(F.transform(inner, _sign), lambda depth, step: depth + step)
+            return F.array_position(depths, F.lit(0)).cast("int")
+
+        return let(F.slice(tags, start, F.size(tags)), lambda inner: let(
+            closing(inner), lambda closed: until(head, rest, inner, start, closed)
+        ))
 
     def element(text: Column, head: Column) -> Column:
         rest = F.substring(text, F.length(head) + 1, F.length(text))
