@@ -94,6 +94,21 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed value: a time at which some pages have their second capture.
+CAPTURES_AT = "2024-01-02 00:01:40"
+
+
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page three times, a day apart, with another title the second time and no page the third."""
+    first = responses(spark, sf_dir)
+    day = F.expr("INTERVAL 1 DAY")
+    second = first.withColumns({
+        "body": F.concat(F.encode(F.lit("<title>second</title>"), "UTF-8"), "body"), "fetched_at": F.col("fetched_at") + day,
+    })
+    third = first.withColumns({"status": F.lit(410), "fetched_at": F.col("fetched_at") + day + day})
+    return first.union(second).union(third)
+
+
 def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page URL, again with spaces around it, and a variant that has no snapshot."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")

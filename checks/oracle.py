@@ -346,6 +346,13 @@ SELECT doc_id, {TRUNCATED} AS cut_default,
   CASE WHEN length(text) > 120 THEN rtrim(left(text, 120), {SPACE}) || '…' ELSE text END AS cut_short, text AS uncut
 FROM documents""",
     "o37_article_record": f"WITH {EXTRACT}, {ROBOTS}, {RESPONSES}, {ARTICLES} SELECT * FROM records",
+    "o37_latest_capture": f"""WITH {EXTRACT}, {ROBOTS}, {RESPONSES}, {ARTICLES}
+SELECT r.url, "finalUrl", status,
+  CASE WHEN title IS NOT NULL AND page_id <= 100 THEN 'second' ELSE title END AS title, text, chars,
+  CASE WHEN "fetchedAt" IS NOT NULL THEN strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id)
+    + (CASE WHEN page_id <= 100 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END), '%Y-%m-%dT%H:%M:%SZ') END AS "fetchedAt", error
+FROM records r LEFT JOIN pages p ON p.url = r.url
+UNION ALL SELECT 'ftp://' || page_id, NULL, NULL, NULL, '', 0, NULL, 'only http(s) URLs are supported: ftp://' || page_id FROM pages""",
     "o38_rate_schedule": """WITH
 numbered AS (SELECT event_id, event_type, date_trunc('hour', ts) AS t, epoch_us(date_trunc('hour', ts)) AS us,
   row_number() OVER (PARTITION BY event_type ORDER BY date_trunc('hour', ts), event_id) AS i FROM events),

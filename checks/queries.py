@@ -310,6 +310,15 @@ def o37_article_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _articles(spark, sf_dir)
 
 
+def o37_latest_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several captures of every URL up to a time, and URLs that are no web addresses."""
+    odd = table(spark, sf_dir, "pages").select(F.concat(F.lit("ftp://"), "page_id").alias("url"), F.col("page_id").alias("position"))
+    return pages.extract_articles(
+        inputs.page_urls(spark, sf_dir).union(odd), inputs.captures(spark, sf_dir), inputs.robots(spark, sf_dir),
+        mode="capture", at=F.lit(inputs.CAPTURES_AT).cast("timestamp_ntz"),
+    )
+
+
 def o38_rate_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "event_id", "event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from webglean.functions import html, urls
 from webglean.functions.encodings import cap_and_decode
 from webglean.functions.text import WHITESPACE, truncate_text
-from webglean.operators import pages
+from webglean.operators import membership, pages
 from webglean.sources.tables import as_responses
 
 ARTICLE = """
@@ -274,10 +274,59 @@ def test_url_parts(spark):
 
 @pytest.mark.parametrize("rows", [1000, 0])
 def test_page_bodies_are_not_shuffled(spark, monkeypatch, rows):
-    monkeypatch.setattr(pages, "HASHED_URLS", rows)
+    monkeypatch.setattr(pages, "LISTED_HASHES", rows)
     asked = spark.createDataFrame([("https://a.com/ok", 0)], "url string, position int")
     plan = pages.extract_articles(asked, responses(spark))._jdf.queryExecution().executedPlan().toString()
     for line in plan.splitlines():
         assert not ("Exchange" in line and "body" in line)
     assert ("LeftSemi" in plan) == (rows > 0)
     assert pages.extract_articles(asked, responses(spark)).first().title == "Tides of the northern bay"
+
+
+@pytest.mark.parametrize("rows", [1000, 0])
+def test_one_capture_of_a_url_is_parsed(spark, monkeypatch, rows):
+    monkeypatch.setattr(pages, "LISTED_HASHES", rows)
+    captures = spark.range(3000).select(
+        F.concat(F.lit("https://h.com/"), F.col("id") % 30).alias("url"), F.lit("x").alias("final_url"),
+        F.lit(200).alias("status"), F.lit(None).cast("string").alias("content_type"),
+        F.lit(None).cast("string").alias("encoding"),
+        F.encode(F.concat(F.lit("<title>"), F.col("id"), F.lit("</title>")), "UTF-8").alias("body"),
+        F.lit(None).cast("string").alias("transport_error"),
+        F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("fetched_at"),
+    )
+    asked = spark.createDataFrame([(f"https://h.com/{i}", i) for i in range(0, 40, 2)], "url string, position int")
+    parsed = []
+    inner = pages.read_articles
+
+    def counting(responses, *limits):
+        parsed.append(responses.count())
+        return inner(responses, *limits)
+
+    monkeypatch.setattr(pages, "read_articles", counting)
+    got = {r.url: r.title for r in pages.extract_articles(asked, captures).collect()}
+    assert got == {f"https://h.com/{i}": str(2970 + i) if i < 30 else None for i in range(0, 40, 2)}
+    at = F.lit("1970-01-01 00:01:00").cast("timestamp_ntz")
+    early = {r.url: r.title for r in pages.extract_articles(asked, captures, at=at).collect()}
+    assert early == {f"https://h.com/{i}": ("60" if i == 0 else str(30 + i)) if i < 30 else None for i in range(0, 40, 2)}
+    # A URL more at most slips through the filter of fixed size.
+    assert parsed[0] <= 15 + (rows == 0) and parsed[1] <= 15 + (rows == 0)
+
+
+def test_captures_of_one_time_differ_by_their_text(spark):
+    row = ("https://a.com/", "f", 200, None, None, bytearray(b"<p>one</p>"), None, None)
+    shape = ("url string, final_url string, status int, content_type string, encoding string, body binary, "
+             "transport_error string, fetched_at timestamp_ntz")
+    captures = spark.createDataFrame([row, row, (*row[:5], bytearray(b"<p>two</p>"), *row[6:])], shape)
+    asked = spark.createDataFrame([("https://a.com/", 0)], "url string, position int")
+    assert [r.text for r in pages.extract_articles(asked, captures).collect()] == ["two"]
+
+
+def test_filter_of_fixed_size_keeps_all_that_is_listed(spark):
+    rows = spark.range(200_000).select("id", F.lit(1).alias("_bitmap"))
+    listed = spark.range(0, 200_000, 50).select(F.xxhash64("id").alias("_hash"))
+    for few in (True, False):
+        kept = membership.keep_listed(rows, F.xxhash64("id"), listed, few)
+        assert kept.columns == ["id", "_bitmap"]
+        assert kept.filter("id % 50 = 0").count() == 4000 and kept.count() <= 4000 + (0 if few else 400)
+    none = membership.keep_listed(rows, F.xxhash64("id"), listed.limit(0), False)
+    assert none.count() == 0

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions import html, robots as rules_of, urls as u
 from ..functions.encodings import cap_and_decode
 from ..functions.text import blank_to_null, is_blank, strip, truncate_text
+from .membership import LISTED_HASHES, keep_listed
 from .requests import check_fetch_urls
 from .sizing import is_small
 
@@ -19,8 +20,8 @@ ROBOTS_ERROR = "blocked by robots.txt"
 NOT_FOUND = 404
 DEFAULT_USER_AGENT = "webglean/1.0"
 
-# Asked URLs up to this many are sent along as 64-bit hashes, to drop other pages before parsing.
-HASHED_URLS = 5_000_000
+# What tells captures of a URL apart without their bodies; the latest has the largest.
+CAPTURE_KEY = ("fetched_at", "final_url", "status", "content_type", "transport_error")
 
 
 def dedupe_urls(urls: DataFrame, position: str = "position") -> DataFrame:
@@ -92,12 +93,23 @@ def classify_response(
 
 
 def latest_capture(captures: DataFrame) -> DataFrame:
-    """One row per URL: the latest by ``fetched_at``; ties by the other columns, nulls come first."""
-    rest = [c for c in captures.columns if c not in ("url", "fetched_at")]
-    last = captures.groupBy("url").agg(F.max(F.struct("fetched_at", *rest)).alias("_last"))
+    """One row per URL: the latest by ``CAPTURE_KEY``; ties by the other columns, nulls come first."""
+    rest = [c for c in captures.columns if c != "url" and c not in CAPTURE_KEY]
+    last = captures.groupBy("url").agg(F.max(F.struct(*CAPTURE_KEY, *rest)).alias("_last"))
     return last.select("url", "_last.*").select(*captures.columns)
 
 
+def only_latest(captures: DataFrame, few: bool | None = None) -> DataFrame:
+    """Captures that can be the latest of their URL, with their bodies and without a shuffle of them.
+
+    The choice is made on narrow columns, in one aggregation. Captures equal in all of those stay, as
+    do a few others where the URLs are many; ``latest_capture`` ends it behind the parsing.
+    """
+    latest = captures.groupBy("url").agg(F.max(F.struct(*CAPTURE_KEY)).alias("_last"))
+    hashes = latest.select(F.xxhash64("url", "_last").alias("_hash"))
+    return keep_listed(captures, F.xxhash64("url", F.struct(*CAPTURE_KEY)), hashes, few)
+
+
 def fetch_snapshot(urls: DataFrame, responses: DataFrame) -> DataFrame:
     """Look each URL up among the snapshots; a URL without one gets status 404.
 
@@ -202,9 +214,8 @@ def extract_articles(
     status, body)`` or None to skip the check. A URL that is not http(s) stops the job; with
     ``mode="capture"`` it only gets that error. No URL at all raises ValueError. Of several captures
     of a URL the latest counts, or the latest up to the time ``at``. Pages that nobody may or does ask
-    for are dropped before they are parsed, by hashes of the URLs if at most ``HASHED_URLS`` are
-    asked. Pages shrink to their article text before the lookup by URL, so page bodies are never
-    shuffled.
+    for and older captures are dropped before they are decoded, by hashes or a Bloom filter. Pages
+    shrink to their article text before the lookup by URL, so page bodies are never shuffled.
     """
     listed = urls.select(strip(F.col("url")).alias("url")).filter(~is_blank(F.col("url")))
     if listed.isEmpty():
@@ -216,11 +227,11 @@ def extract_articles(
         checked = robots_allowed(wanted, parse_robots(robots, user_agent))
     asked = responses if at is None else responses.filter(F.col("fetched_at") <= at)
     useful = checked.filter(F.col("allowed") & F.col("url").rlike("(?i)^https?://"))
-    hashes = useful.select(F.xxhash64("url").alias("_hash")).distinct()
-    if is_small(hashes, HASHED_URLS):
-        asked = asked.withColumn("_hash", F.xxhash64("url")).join(
-            F.broadcast(hashes), "_hash", "left_semi"
-        ).drop("_hash")
+    hashes = useful.select(F.xxhash64("url").alias("_hash"))
+    few = is_small(hashes, LISTED_HASHES)
+    asked = keep_listed(asked, F.xxhash64("url"), hashes, few)
+    # A URL has one latest capture, so few URLs have few.
+    asked = only_latest(asked, few)
     articles = latest_capture(read_articles(asked, max_bytes, max_chars))
     fetched = fetch_snapshot(checked, articles)
     records = article_record(fetched)

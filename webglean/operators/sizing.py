@@ -10,12 +10,8 @@ BROADCAST_ROWS = 200_000
 
 
 def count_up_to(df: DataFrame, limit: int) -> int | None:
-    """The row count if it is at most ``limit``, else None.
-
-    ``take`` tries a few partitions and goes on only while rows are missing, so a large table stops
-    early; at most ``limit + 1`` empty rows reach the driver.
-    """
-    n = len(df.select().take(limit + 1))
+    """The row count if it is at most ``limit``, else None. Tasks stop at the limit; a number comes back."""
+    n = df.select().limit(limit + 1).count()
     return n if n <= limit else None
 
 
