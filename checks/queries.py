@@ -275,26 +275,26 @@ def o30_cap_and_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def o31_extract_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages", spread=True).select(
-        "page_id", extract_title(strip_hidden(F.col("html"))).alias("title")
-    )
+        "page_id", strip_hidden("html").alias("clean")
+    ).select("page_id", extract_title("clean").alias("title"))
 
 
 def o32_strip_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages", spread=True).select(
-        "page_id", strip_noise(strip_hidden(F.col("html"))).alias("bare")
-    )
+        "page_id", strip_hidden("html").alias("clean")
+    ).select("page_id", strip_noise("clean").alias("bare"))
 
 
 def o33_pick_root(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return o32_strip_noise(spark, sf_dir).select("page_id", pick_root(F.col("bare")).alias("root"))
+    return o32_strip_noise(spark, sf_dir).select("page_id", pick_root("bare").alias("root"))
 
 
 def o34_block_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return o33_pick_root(spark, sf_dir).select("page_id", block_text(F.col("root")).alias("text"))
+    return o33_pick_root(spark, sf_dir).select("page_id", block_text("root").alias("text"))
 
 
 def o35_strip_tags_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages", spread=True).select("page_id", strip_tags_fallback(F.col("html")).alias("text"))
+    return table(spark, sf_dir, "pages", spread=True).select("page_id", strip_tags_fallback("html").alias("text"))
 
 
 def o36_truncate_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
-from .text import blank_to_null, let, strip
+from .text import blank_to_null, built_once, let, strip
 
 # Element names that steer the extraction.
 BLOCK_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "blockquote", "pre")
@@ -78,6 +78,7 @@ def unescape(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.array_join(replaced, "")).otherwise(text)
 
 
+@built_once
 def inline_text(markup: Column, joiner: str = " ") -> Column:
     """Text between tags, each run stripped, empty runs dropped."""
     def runs(text: Column, tags: Column) -> Column:
@@ -89,6 +90,7 @@ def inline_text(markup: Column, joiner: str = " ") -> Column:
     return F.array_join(clean, joiner)
 
 
+@built_once
 def strip_hidden(html: Column) -> Column:
     """Drop comments, scripts and styles; a close tag inside a script is no real tag."""
     return F.regexp_replace(html, HIDDEN, "")
@@ -185,6 +187,7 @@ def _tag_stream(names: tuple[str, ...]) -> str:
     return rf"(?i)</?(?:{'|'.join(names)}){_ATTRS}>"
 
 
+@built_once
 def strip_noise(html: Column) -> Column:
     """Drop page furniture with its content, at any depth. Expects ``strip_hidden`` output.
 
@@ -218,6 +221,7 @@ def strip_noise(html: Column) -> Column:
     return let(html, lambda text: let(_up_to_last(text, ">"), lambda head: bare(text, head)))
 
 
+@built_once
 def extract_title(html: Column) -> Column:
     """``<title>``, else ``og:title``, else the first ``<h1>``. Expects ``strip_hidden`` output."""
     title = strip(unescape(F.regexp_extract(
@@ -238,14 +242,19 @@ def extract_title(html: Column) -> Column:
     )
 
 
-def _element_text(html: Column, name: str) -> Column:
-    """The first element of a name with its tags, up to its own close or the end; null without one."""
-    pattern = _tag_stream((name,))
+@built_once
+def pick_root(html: Column) -> Column:
+    """The first ``article``, else ``main``, else ``body``, else everything.
 
-    def until(head: Column, rest: Column, inner: Column, start: Column, closed: Column) -> Column:
-        count = F.when(closed > 0, closed).otherwise(F.size(inner))
+    An element that exists but is empty is still the root. One of the same name inside it is a part of
+    it. A missing close runs to the end.
+    """
+    pattern = _tag_stream(ROOT_TAGS)
+
+    def until(head: Column, rest: Column, tags: Column, start: Column, closed: Column) -> Column:
+        count = F.when(closed > 0, closed).otherwise(F.size(tags) - start + 1)
         units = let(F.split(head, pattern), lambda pieces: F.zip_with(
-            F.slice(inner, F.lit(1), count), F.slice(pieces, start + 1, count),
+            F.slice(tags, start, count), F.slice(pieces, start + 1, count),
             lambda tag, piece: F.struct(tag.alias("tag"), piece.alias("piece")),
         ))
         # What stands behind the close is no part of the element.
@@ -254,41 +263,36 @@ def _element_text(html: Column, name: str) -> Column:
         ))
         return F.concat(F.array_join(texts, ""), F.when(closed > 0, "").otherwise(rest))
 
-    def cut(head: Column, rest: Column, tags: Column, start: Column) -> Column:
-        def closing(inner: Column) -> Column:
-            depths = running(F.transform(inner, _sign), lambda depth, step: depth + step)
-            return F.array_position(depths, F.lit(0)).cast("int")
+    def from_open(head: Column, rest: Column, tags: Column, signs: Column) -> Column:
+        def closing(start: Column) -> Column:
+            inner = F.slice(signs, start, F.size(signs))
+            # Tags of the other names count 0: the depth is 0 first at the close.
+            return F.array_position(running(inner, lambda depth, step: depth + step), F.lit(0)).cast("int")
 
-        return let(F.slice(tags, start, F.size(tags)), lambda inner: let(
-            closing(inner), lambda closed: until(head, rest, inner, start, closed)
+        return let(F.array_position(signs, F.lit(1)).cast("int"), lambda start: let(
+            closing(start), lambda closed: until(head, rest, tags, start, closed)
         ))
 
+    def of_name(head: Column, rest: Column, tags: Column, names: Column) -> Column:
+        name = F.coalesce(*[F.when(F.array_contains(names, f"<{n}"), n) for n in ROOT_TAGS])
+        signs = let(name, lambda name: F.transform(names, lambda tag: F.when(
+            tag == F.concat(F.lit("<"), name), 1
+        ).when(tag == F.concat(F.lit("</"), name), -1).otherwise(0)))
+        return let(signs, lambda signs: F.when(F.array_contains(signs, 1), from_open(head, rest, tags, signs)))
+
     def element(text: Column, head: Column) -> Column:
         rest = F.substring(text, F.length(head) + 1, F.length(text))
         tags = F.regexp_extract_all(head, F.lit(pattern), F.lit(0))
-        return let(tags, lambda tags: let(
-            F.array_position(F.transform(tags, _sign), F.lit(1)).cast("int"),
-            lambda start: F.when(start > 0, cut(head, rest, tags, start)),
-        ))
-
-    return let(html, lambda text: let(_up_to_last(text, ">"), lambda head: element(text, head)))
+        return let(tags, lambda tags: of_name(head, rest, tags, F.transform(
+            tags, lambda tag: F.lower(F.regexp_extract(tag, "^</?[a-zA-Z]+", 0))
+        )))
 
-
-def pick_root(html: Column) -> Column:
-    """The first ``article``, else ``main``, else ``body``, else everything.
-
-    An element that exists but is empty is still the root. One of the same name inside it is a part of
-    it. A missing close runs to the end.
-    """
-    def pick(text: Column) -> Column:
-        found = [
-            F.when(text.rlike(rf"(?i)<{name}[\s>]"), _element_text(text, name)) for name in ROOT_TAGS
-        ]
-        return F.coalesce(*found, text)
-
-    return let(html, pick)
+    return let(html, lambda text: let(
+        _up_to_last(text, ">"), lambda head: F.coalesce(element(text, head), text)
+    ))
 
 
+@built_once
 def block_text(root: Column) -> Column:
     """One line per run of text inside blocks; text outside of all blocks doesn't count."""
     plain = F.translate(root, _OPEN + _CLOSE, "")
@@ -315,6 +319,7 @@ def block_text(root: Column) -> Column:
     return let(pieces, lines)
 
 
+@built_once
 def strip_tags_fallback(html: Column) -> Column:
     """Last resort: tags become spaces, white space collapses."""
     def bare(text: Column, tags: Column) -> Column:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
+from pyspark import SparkContext
 from pyspark.sql import Column, functions as F
 
 # Every code point Unicode counts as white space lies below U+3001.
@@ -46,3 +48,22 @@ def tokens(col: Column) -> Column:
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
     """``then(value)``, with the value worked out once however often it is used."""
     return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def built_once(make: Callable[..., Column]) -> Callable[..., Column]:
+    """``make(column, ..)``, remembered where the column is given by name.
+
+    A long expression takes thousands of small calls to the JVM to build, and none to use again.
+    """
+    known: dict[tuple, Column] = {}
+
+    @wraps(make)
+    def built(column: Column | str, *rest: object) -> Column:
+        if not isinstance(column, str):
+            return make(column, *rest)
+        key = (id(SparkContext._gateway), column, *rest)
+        if key not in known:
+            known[key] = make(F.col(column), *rest)
+        return known[key]
+
+    return built

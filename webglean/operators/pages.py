@@ -133,17 +133,16 @@ def extract_text(pages: DataFrame, source: str = "html", max_chars: int | None =
     The steps are separate projections so that each pattern runs once per page.
     """
     kept = pages.columns
-    clean = pages.withColumn("_clean", html.strip_hidden(F.coalesce(F.col(source), F.lit(""))))
-    titled = clean.withColumns(
-        {"title": html.extract_title(F.col("_clean")), "_bare": html.strip_noise(F.col("_clean"))}
-    )
-    rooted = titled.withColumn("_root", html.pick_root(F.col("_bare")))
+    given = pages.withColumn("_given", F.coalesce(F.col(source), F.lit("")))
+    clean = given.withColumn("_clean", html.strip_hidden("_given"))
+    titled = clean.withColumns({"title": html.extract_title("_clean"), "_bare": html.strip_noise("_clean")})
+    rooted = titled.withColumn("_root", html.pick_root("_bare"))
     texts = rooted.withColumn(
         "_text",
         F.coalesce(
-            blank_to_null(html.block_text(F.col("_root"))),
-            blank_to_null(html.inline_text(F.col("_root"), "\n")),
-            html.strip_tags_fallback(F.coalesce(F.col(source), F.lit(""))),
+            blank_to_null(html.block_text("_root")),
+            blank_to_null(html.inline_text("_root", "\n")),
+            html.strip_tags_fallback("_given"),
         ),
     )
     cut = texts.withColumn("text", truncate_text(F.col("_text"), max_chars))
