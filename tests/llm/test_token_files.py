@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -47,6 +48,18 @@ def test_odd_rows(spark, library):
     assert got == [(r[0], *w) for r, w in zip(order, want)]
 
 
+def test_words_at_blanks_equal_the_library(library):
+    words = token_files._Vocabulary(PATH, public_tokenizers.PATTERN)
+    rng = random.Random(4)
+    signs = [" ", " ", " ", "a", "B9", "é漢", "'s", "'", "\n", "\t", "\x1c", "\x85", "\u3000", "!?", "12", "<|endoftext|>"]
+    texts = ["", " ", "  ", "a ", " a", "a  b", "a\n b", "a \nb", "a\x1c b"]
+    texts += ["".join(rng.choices(signs, k=rng.randint(1, 12))) for _ in range(4000)]
+    got = words.encode(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     files = token_files.write_tokens(df, f"{shared_dir(spark)}/none", PATH, public_tokenizers.PATTERN)
