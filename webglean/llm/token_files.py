@@ -13,7 +13,6 @@ a hash of their text; both keep their rows. No documents give no files. Only the
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -29,8 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-REMEMBERED = 900_000
-_BESIDE_BLANK = re.compile(r" \s|\s ").search
+REMEMBERED = 600_000
 # Documents in a batch that is tokenised together.
 BATCH = 256
 
@@ -44,11 +42,7 @@ class TokenFiles(NamedTuple):
 
 
 class _Vocabulary:
-    """Ids of pieces of text from the tokenizers library; every different piece is asked once.
-
-    A blank between two signs that are not white space begins a piece, so most texts fall into words
-    there, and every different word is cut once. A text with white space beside a blank is cut whole.
-    """
+    """Ids of pieces of text from the tokenizers library; every different piece is asked once."""
 
     def __init__(self, path: str, pattern: str):
         # Spark runs a worker for every core, so threads inside one would only wait for each other.
@@ -57,38 +51,24 @@ class _Vocabulary:
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
         self.known: dict[str, bytes] = {}
-        # Ids of a blank and the word behind it.
-        self.words: dict[str, bytes] = {}
         spaces = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.cut = regex.compile(spaces).findall
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known, words = self.known, self.words
-        if len(known) + len(words) > REMEMBERED:
+        cut = [self.cut(text) for text in texts]
+        known = self.known
+        if len(known) > REMEMBERED:
             known.clear()
-            words.clear()
-        split = [[text] if _BESIDE_BLANK(text) else text.split(" ") for text in texts]
-        begins = [self.cut(parts.pop(0)) for parts in split]
-        fresh = {word: self.cut(" " + word) for word in set().union(*split).difference(words)}
-        self._ask(set().union(*begins, *fresh.values()).difference(known))
-        for word, pieces in fresh.items():
-            words[word] = b"".join(map(known.__getitem__, pieces))
-        return [
-            b"".join(map(known.__getitem__, begin)) + b"".join(map(words.__getitem__, rest))
-            for begin, rest in zip(begins, split)
-        ]
-
-    def _ask(self, pieces: set[str]) -> None:
-        if not pieces:
-            return
-        fresh = list(pieces)
-        found = self.model.encode(fresh, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, f"<u{self.width}").tobytes()
-        ends = np.bincount(np.array(found.word_ids), minlength=len(fresh)).cumsum() * self.width
-        start = 0
-        for piece, end in zip(fresh, ends.tolist()):
-            self.known[piece] = ids[start:end]
-            start = end
+        fresh = list(set().union(*cut).difference(known))
+        if fresh:
+            found = self.model.encode(fresh, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, f"<u{self.width}").tobytes()
+            ends = np.bincount(np.array(found.word_ids), minlength=len(fresh)).cumsum() * self.width
+            start = 0
+            for piece, end in zip(fresh, ends.tolist()):
+                known[piece] = ids[start:end]
+                start = end
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
 
 
 @cache
