@@ -271,12 +271,12 @@ SELECT page_id AS rank, url FROM pages p WHERE NOT EXISTS (SELECT 1 FROM
   (SELECT DISTINCT regexp_extract(url, '^http://([^/?#]*)', 1) AS host FROM pages) h
   WHERE host <> '' AND contains(lower(p.url), lower(host)))""",
     "o10_exclude_domains_long": """WITH
+numbered AS (SELECT page_id, CASE WHEN page_id % 4 < 2 THEN page_id ELSE -page_id - 1 END AS n FROM pages),
 hits AS (SELECT page_id AS rank, CASE WHEN page_id % 10 = 3 THEN NULL
-  WHEN page_id % 2 = 0 THEN 'HTTPS://é.com/' || repeat('a', 500) || '/ITEM/' || page_id || '/x'
-  ELSE 'https://b.com/' || page_id || 'e' || page_id || '-' END AS url FROM pages),
-patterns AS (SELECT DISTINCT lower(p) AS p FROM (SELECT 'Item/' || doc_id || '/x' AS p FROM documents WHERE NOT 'Item/' || doc_id || '/x' LIKE '%4/x'
-  UNION ALL SELECT 'e' || event_id || '-' FROM events WHERE 'e' || event_id || '-' LIKE '%7-'
-  UNION ALL SELECT right(url, 9) FROM pages WHERE length(url) >= 9))
+  WHEN page_id % 2 = 0 THEN 'HTTPS://é.com/' || repeat('a', 500) || '/ITEM/' || n || '/x'
+  ELSE 'https://b.com/' || page_id || 'e' || n || '-' END AS url FROM numbered),
+patterns AS (SELECT DISTINCT lower(p) AS p FROM (SELECT 'Item/' || doc_id || '/x' AS p FROM documents
+  UNION ALL SELECT 'e' || event_id || '-' FROM events UNION ALL SELECT right(url, 9) FROM pages WHERE length(url) >= 9))
 SELECT rank, url FROM hits WHERE NOT EXISTS (SELECT 1 FROM patterns WHERE contains(lower(url), p))""",
     "o11_drop_urlless": f"WITH {CHAT} SELECT query_idx, rank, url FROM chat WHERE url IS NOT NULL",
     "o12_to_compat_rows": f"""WITH {CHAT}
@@ -335,6 +335,9 @@ SELECT query_idx, CAST(count(*) AS INTEGER) AS n,
     "o28_robots_allowed": f"WITH {ROBOTS} SELECT page_id, url, allowed FROM verdicts",
     "o29_classify_response": f"WITH {ROBOTS}, {RESPONSES} SELECT url, error FROM checked",
     "o30_cap_and_decode": "SELECT page_id, html FROM pages",
+    "o30_decode_kinds": r"""
+SELECT page_id, CASE page_id % 5 WHEN 0 THEN html || '�' WHEN 1 THEN regexp_replace(html, '[^\x00-\x7F]', '', 'g') || '€'
+  WHEN 4 THEN left(regexp_replace(html, '[^\x00-\x7F]', '', 'g'), 1000) ELSE html END AS html FROM pages""",
     "o31_extract_title": f"WITH {EXTRACT} SELECT page_id, title FROM titled",
     "o32_strip_noise": f"WITH {EXTRACT} SELECT page_id, bare FROM titled",
     "o33_pick_root": f"WITH {EXTRACT} SELECT page_id, root FROM rooted",

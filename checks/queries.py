@@ -103,13 +103,15 @@ def o10_exclude_domains_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(F.concat(F.lit("e"), F.col("event_id"), F.lit("-")).alias("pattern"))
     paths = table(spark, sf_dir, "pages").select(F.substring("url", -9, 9).alias("pattern")).filter(F.length("pattern") == 9)
     odd = spark.range(3).select(F.when(F.col("id") == 0, "").when(F.col("id") == 1, "  ").alias("pattern"))
+    # Numbers that tables have and numbers that none has.
+    number = F.when(F.col("rank") % 4 < 2, F.col("rank")).otherwise(-F.col("rank") - 1)
     hits = inputs.page_hits(spark, sf_dir).select(
         "query_idx", "rank",
         F.when(F.col("rank") % 10 == 3, F.lit(None)).when(
-            F.col("rank") % 2 == 0, F.concat(F.lit("HTTPS://é.com/"), F.repeat(F.lit("a"), 500), F.lit("/ITEM/"), F.col("rank"), F.lit("/x")),
-        ).otherwise(F.concat(F.lit("https://b.com/"), F.col("rank"), F.lit("e"), F.col("rank"), F.lit("-"))).alias("url"),
+            F.col("rank") % 2 == 0, F.concat(F.lit("HTTPS://é.com/"), F.repeat(F.lit("a"), 500), F.lit("/ITEM/"), number, F.lit("/x")),
+        ).otherwise(F.concat(F.lit("https://b.com/"), F.col("rank"), F.lit("e"), number, F.lit("-"))).alias("url"),
     )
-    patterns = ids.filter("pattern not like '%4/x'").union(events.filter("pattern like '%7-'")).union(paths).union(odd)
+    patterns = ids.union(events).union(paths).union(odd)
     return results.exclude_domains_table(hits, patterns).select("rank", "url")
 
 
@@ -273,6 +275,22 @@ def o30_cap_and_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("page_id", cap_and_decode(F.col("body"), F.col("encoding")).alias("html"))
 
 
+def o30_decode_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad bytes, a Windows page, a rare and an unknown encoding, and a body that is too long."""
+    kind = F.col("page_id") % 5
+    ascii_only = F.encode(F.regexp_replace("html", "[^\\x00-\\x7F]", ""), "UTF-8")
+    encoded = table(spark, sf_dir, "pages", spread=True).select(
+        "page_id", kind.alias("kind"),
+        F.when(kind == 0, F.concat(F.encode("html", "UTF-8"), F.unhex(F.lit("FF"))))
+        .when(kind == 1, F.concat(ascii_only, F.unhex(F.lit("80"))))
+        .when(kind == 2, F.encode("html", "UTF-16LE")).when(kind == 3, F.encode("html", "UTF-8"))
+        .otherwise(ascii_only).alias("body"),
+        F.when(kind == 1, "Windows-1252").when(kind == 2, "utf-16-le").when(kind == 3, "x-none").alias("encoding"),
+    )
+    long, short = (cap_and_decode(F.col("body"), F.col("encoding"), n) for n in (2_000_000, 1000))
+    return encoded.select("page_id", F.when(F.col("kind") == 4, short).otherwise(long).alias("html"))
+
+
 def o31_extract_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages", spread=True).select(
         "page_id", strip_hidden("html").alias("clean")

@@ -330,3 +330,20 @@ def test_filter_of_fixed_size_keeps_all_that_is_listed(spark):
         assert kept.filter("id % 50 = 0").count() == 4000 and kept.count() <= 4000 + (0 if few else 400)
     none = membership.keep_listed(rows, F.xxhash64("id"), listed.limit(0), False)
     assert none.count() == 0
+
+
+def test_python_decodes_only_the_branch_of_rare_encodings(spark):
+    shape = ("url string, final_url string, status int, content_type string, encoding string, body binary, "
+             "transport_error string, fetched_at timestamp_ntz")
+    rows = [
+        (name or "none", "f", 200, None, name, bytearray(body), None, None) for name, body in [
+            (None, b"<p>caf\xc3\xa9</p>"), ("latin-1", b"<p>caf\xe9</p>"), ("koi8-r", b"<p>\xc1</p>"), ("nosuch", b"<p>\xff</p>"),
+        ]
+    ]
+    known = spark.createDataFrame(rows[:2], shape)
+    plan = pages.read_articles(known)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    mixed = pages.read_articles(spark.createDataFrame(rows, shape))
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Union" in plan
+    assert {r.url: r.text for r in mixed.collect()} == {"none": "café", "latin-1": "café", "koi8-r": "а", "nosuch": "�"}

@@ -30,21 +30,40 @@ def _decode_other(body: pd.Series, encoding: pd.Series) -> pd.Series:
     return pd.Series([one(b, n) for b, n in zip(body, encoding)], dtype=object)
 
 
-def cap_and_decode(body: Column, encoding: Column, max_bytes: int = 2_000_000) -> Column:
-    """The first ``max_bytes`` bytes as text; bad bytes become U+FFFD, no encoding means UTF-8.
+_KNOWN = (*UTF8_NAMES, *ASCII_NAMES, *LATIN1_NAMES, *CP1252_NAMES)
 
-    Only rows with a rare encoding send their bytes to a Python worker, in Arrow batches; an unknown
-    name falls back to UTF-8. If ``encoding`` is a constant, Spark folds the unused branches away.
-    """
-    capped = F.substring(body, 1, max_bytes)
-    name = F.lower(F.coalesce(encoding, F.lit(UTF8_NAMES[0])))
-    known = (*UTF8_NAMES, *ASCII_NAMES, *LATIN1_NAMES, *CP1252_NAMES)
+
+def _name(encoding: Column) -> Column:
+    return F.lower(F.coalesce(encoding, F.lit(UTF8_NAMES[0])))
+
+
+def is_rare(encoding: Column) -> Column:
+    """Whether it takes Python to decode this encoding; never null."""
+    return ~_name(encoding).isin(*_KNOWN)
+
+
+def decode_known(body: Column, encoding: Column, max_bytes: int = 2_000_000) -> Column:
+    """``cap_and_decode`` for encodings that are not rare; null for others. Stays inside the JVM."""
+    capped, name = F.substring(body, 1, max_bytes), _name(encoding)
     latin1 = F.decode(capped, "ISO-8859-1")
-    rare = F.when(~name.isin(*known), capped)
     return (
         F.when(name.isin(*UTF8_NAMES), F.make_valid_utf8(capped.cast("string")))
         .when(name.isin(*LATIN1_NAMES), latin1)
         .when(name.isin(*CP1252_NAMES), F.translate(latin1, _C1, _CP1252))
         .when(name.isin(*ASCII_NAMES), F.translate(latin1, _HIGH, "�" * len(_HIGH)))
-        .otherwise(_decode_other(rare, name))
     )
+
+
+def decode_rare(body: Column, encoding: Column, max_bytes: int = 2_000_000) -> Column:
+    """``cap_and_decode`` for any encoding, in Python; an unknown name falls back to UTF-8."""
+    return _decode_other(F.substring(body, 1, max_bytes), _name(encoding))
+
+
+def cap_and_decode(body: Column, encoding: Column, max_bytes: int = 2_000_000) -> Column:
+    """The first ``max_bytes`` bytes as text; bad bytes become U+FFFD, no encoding means UTF-8.
+
+    All rows pass a Python worker, those of known encodings without their bytes. Where rows can be
+    split first, ``decode_known`` and ``decode_rare`` keep the former away from Python.
+    """
+    rare = F.when(is_rare(encoding), body)
+    return F.coalesce(decode_known(body, encoding, max_bytes), decode_rare(rare, encoding, max_bytes))
