@@ -331,6 +331,33 @@ FROM asks LEFT JOIN sources s ON s.topic = query_idx GROUP BY query_idx""",
     "o26_nest_report": f"""WITH {CHAT}
 SELECT query_idx, CAST(count(*) AS INTEGER) AS n,
   string_agg(text, '|' ORDER BY rank) AS texts FROM chat GROUP BY ALL""",
+    "o26_batch_lines": f"""WITH {BATCH}, {MERGED}
+SELECT 'queries' AS section, row_number() OVER (ORDER BY item_id) AS position,
+  CAST(to_json({{'query': text, 'count': (SELECT count(*) FROM hits WHERE hits.query_idx = item_id), 'error': {_query_error('text')}}}) AS VARCHAR) AS json FROM benchmark
+UNION ALL SELECT 'results', row_number() OVER (ORDER BY query_idx, rank),
+  CAST(to_json({{'url': url, 'title': title, 'publishedDate': "publishedDate", 'text': text}}) AS VARCHAR) FROM merged
+UNION ALL SELECT 'summary', 1, CAST(to_json({{'total': (SELECT count(*) FROM merged), 'queryCount': count(*),
+  'errorCount': count({_query_error('text')})}}) AS VARCHAR) FROM benchmark""",
+    "o26_fetch_lines": f"""WITH {PAGE_URLS}, {EXTRACT}, {ROBOTS}, {RESPONSES}, {ARTICLES},
+firsts AS (SELECT {_strip('url')} AS url, min(position) AS first FROM asked GROUP BY 1)
+SELECT 'results' AS section, row_number() OVER (ORDER BY first) AS position,
+  CAST(to_json({{'url': r.url, 'finalUrl': "finalUrl", 'status': status, 'title': title, 'text': text, 'chars': chars,
+    'fetchedAt': "fetchedAt", 'error': error}}) AS VARCHAR) AS json FROM records r JOIN firsts f ON f.url = r.url
+UNION ALL SELECT 'summary', 1, CAST(to_json({{'total': count(*), 'errorCount': count(error), 'requested': count(*)}}) AS VARCHAR) FROM records""",
+    "o26_bridge_documents": f"""WITH {CORPUS},
+asks AS (SELECT conv_id * 1000 + turn AS query_idx, text AS query FROM conversations WHERE {_query_error('text')} IS NULL),
+{_ranked(3)},
+kept AS (SELECT query_idx, rank, title, url, text FROM ranked JOIN corpus USING (doc_id)
+  WHERE NOT contains(url, 'doc://0') AND NOT contains(url, 'doc://f'))
+SELECT conv_id * 1000 + turn AS req_id, CAST(to_json({{'query': nullif(c.text, ''), 'total': count(rank),
+  'results': coalesce(list({{'title': title, 'url': url, 'content': k.text, 'snippet': k.text, 'text': k.text, 'publishedDate': ''}}
+    ORDER BY rank) FILTER (rank IS NOT NULL), [])}}) AS VARCHAR) AS json
+FROM conversations c LEFT JOIN kept k ON query_idx = conv_id * 1000 + turn GROUP BY conv_id, turn, c.text""",
+    "o26_research_documents": f"""WITH {RESEARCH}
+SELECT CAST(to_json({{'topic': query_idx, 'sourceCount': count(s.rank), 'fetched': count(s.text), 'errorCount': count("fetchError"),
+  'sources': coalesce(list({{'url': url, 'title': title, 'publishedDate': "publishedDate", 'snippet': snippet, 'text': s.text,
+    'fetchError': "fetchError"}} ORDER BY s.rank) FILTER (s.rank IS NOT NULL), [])}}) AS VARCHAR) AS json
+FROM asks LEFT JOIN sources s ON s.topic = query_idx GROUP BY query_idx""",
     "o27_parse_robots": f"WITH {ROBOTS} SELECT scheme, authority, rule_no, allow, path FROM rules",
     "o28_robots_allowed": f"WITH {ROBOTS} SELECT page_id, url, allowed FROM verdicts",
     "o29_classify_response": f"WITH {ROBOTS}, {RESPONSES} SELECT url, error FROM checked",

@@ -14,7 +14,7 @@ from webglean.plans.answers import answer_requests
 from webglean.plans.batch import search_report
 from webglean.plans.corpus import ResearchReport, research_report
 from webglean.sources.payloads import parse_payloads
-from webglean.sources.reports import report_json
+from webglean.sources.reports import batch_lines, bridge_documents, fetch_lines, report_json, research_documents
 from webglean.sources.tables import load_queries, load_responses
 
 from . import inputs
@@ -241,6 +241,21 @@ def o26_nest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def o26_batch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = search_report(inputs.queries(spark, sf_dir), inputs.corpus(spark, sf_dir), 10, mode="capture")
+    return batch_lines(report.queries, report.results.drop("score"), report.summary)
+
+
+def o26_fetch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    articles = _articles(spark, sf_dir)
+    return fetch_lines(articles, inputs.page_urls(spark, sf_dir), pages.fetch_summary(articles))
+
+
+def o26_research_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = _research(spark, sf_dir)
+    return research_documents(report.sources, report.summary)
+
+
 def o27_parse_robots(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = pages.parse_robots(inputs.robots(spark, sf_dir))
     # "outer" and the filter behind it: a plain explode would push a size test below the parsing.
@@ -363,16 +378,23 @@ def o39_peak_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic.peak_in_flight(events, "user_id", "ts", "until", cap=3)
 
 
-def answer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request log to compatible rows, end to end: distinct chat questions against the documents."""
+def _answers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     asks = table(spark, sf_dir, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("req_id"),
         F.concat(F.lit("/search?n=3&exclude=doc://0,doc://f&q="), F.url_encode("text")).alias("url"),
         F.lit(None).cast("string").alias("content_type"),
         F.lit(None).cast("string").alias("body"),
     )
-    rows = answer_requests(asks, inputs.corpus(spark, sf_dir))[1]
-    return rows.select("req_id", "rank", "url", "title", "publishedDate")
+    return answer_requests(asks, inputs.corpus(spark, sf_dir))
+
+
+def answer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request log to compatible rows, end to end: chat questions against the documents."""
+    return _answers(spark, sf_dir)[1].select("req_id", "rank", "url", "title", "publishedDate")
+
+
+def o26_bridge_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bridge_documents(*_answers(spark, sf_dir))
 
 
 REGISTERED = {
