@@ -63,7 +63,10 @@ def cap_and_decode(body: Column, encoding: Column, max_bytes: int = 2_000_000) -
     """The first ``max_bytes`` bytes as text; bad bytes become U+FFFD, no encoding means UTF-8.
 
     All rows pass a Python worker, those of known encodings without their bytes. Where rows can be
-    split first, ``decode_known`` and ``decode_rare`` keep the former away from Python.
+    split first, ``decode_known`` and ``decode_rare`` keep the former away from Python. If ``encoding``
+    is a constant, Spark folds the unused branch away.
     """
     rare = F.when(is_rare(encoding), body)
-    return F.coalesce(decode_known(body, encoding, max_bytes), decode_rare(rare, encoding, max_bytes))
+    return F.when(~is_rare(encoding), decode_known(body, encoding, max_bytes)).otherwise(
+        decode_rare(rare, encoding, max_bytes)
+    )
