@@ -72,3 +72,13 @@ def test_query_equals_the_library(spark, library):
     want = expected(library, [d.text for d in docs])
     got = queries.op6_token_files(spark, SF_DIR).orderBy("start").collect()
     assert [tuple(r) for r in got] == [(d.doc_id, *w) for d, w in zip(docs, want)]
+
+
+def test_ascii_texts_are_cut_alike():
+    words = token_files._Vocabulary(PATH, public_tokenizers.PATTERN)
+    assert words.cut_ascii is not words.cut
+    draw = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(draw.choice([chr(draw.randrange(128)), " ", "a", "'s", "9", "\n", "\x1c"]) for _ in range(24))
+        assert words.cut_ascii(text) == words.cut(text)
+    assert token_files._ascii_cut(r"\p{Lu}+| +") is None and token_files._ascii_cut(r"\w+") is None
