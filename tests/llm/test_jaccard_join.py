@@ -111,3 +111,52 @@ def jaccard_join_roots(n, links):
         for i, j in links:
             root[i] = root[j] = min(root[i], root[j])
     return root
+
+
+def _sequences(draw, universe, count, share):
+    rows, sizes = {}, {}
+    for _ in range(count):
+        row = np.unique(draw.choice(universe, draw.integers(1, universe + 1))).astype(np.uint64)
+        more = int(draw.integers(0, 2))  # a shingle that no other set has
+        rows[row.tobytes()] = row
+        sizes[row.tobytes()] = len(row) + (more if len(row) * 100 >= share * (len(row) + more) else 0)
+    order = sorted(rows, key=lambda k: rows[k].astype(">u8").tobytes())
+    return [rows[k] for k in order], np.array([sizes[k] for k in order])
+
+
+def _classes(n, pairs):
+    root = list(range(n))
+    for _ in range(n):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+@pytest.mark.parametrize("share", [50, 75, 100])
+def test_tree_equals_all_pairs(share):
+    draw = np.random.default_rng(share)
+    for _ in range(60):
+        rows, sizes = _sequences(draw, int(draw.integers(3, 12)), 25, share)
+        sets = [set(r.tolist()) for r in rows]
+        for sides in (None, draw.integers(0, 2, len(rows))):
+            pairs = [
+                (i, j) for i in range(len(rows)) for j in range(i)
+                if (sides is None or sides[i] != sides[j])
+                and (100 + share) * len(sets[i] & sets[j]) >= share * (sizes[i] + sizes[j])
+            ]
+            links = jaccard_join._tree_links(rows, sizes, sides, share)
+            assert _classes(len(rows), links) == _classes(len(rows), pairs)
+
+
+def test_steps_grow_with_the_block(monkeypatch):
+    """Sets that form one block by shingles of two neighbours only."""
+    steps, common = [], jaccard_join._common
+    monkeypatch.setattr(jaccard_join, "_common", lambda *a: steps.append(1) or common(*a))
+    draw, taken = np.random.default_rng(1), []
+    for n in (500, 2_000):
+        rows = [np.unique(np.append(10**6 + draw.choice(50 * n, 98), [i, i + 1])).astype(np.uint64) for i in range(n)]
+        rows.sort(key=lambda r: r.astype(">u8").tobytes())
+        assert jaccard_join._tree_links(rows, np.array([len(r) for r in rows]), None, 75) == []
+        taken.append(len(steps))
+        steps.clear()
+    assert taken[1] < 6 * taken[0]

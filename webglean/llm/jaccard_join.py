@@ -389,11 +389,38 @@ class _Tree:
                 i = j
 
 
+    def doors(self, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Items, in order, with the nodes and places where they stand among the ``firsts`` first ones
+        of a sequence."""
+        items, at, places = [np.zeros(0, np.uint64)], [np.zeros(0, int)], [np.zeros(0, int)]
+        for k, (lo, hi, begin, end, *_) in enumerate(self.nodes):
+            stop = min(end, int(firsts[lo:hi].max()))
+            if stop > begin:
+                items.append(self.rows[lo][begin:stop])
+                at.append(np.full(stop - begin, k))
+                places.append(np.arange(begin, stop))
+        items, at, places = np.concatenate(items), np.concatenate(at), np.concatenate(places)
+        order = np.argsort(items, kind="stable")
+        return items[order], at[order], places[order]
+
+
+def _common(few: np.ndarray, many: np.ndarray) -> int:
+    """How many of the sorted items ``few`` are in ``many``, which is sorted and not empty."""
+    where = np.searchsorted(many, few)
+    where[where == len(many)] = len(many) - 1
+    return int((many[where] == few).sum())
+
+
 def _tree_links(
     rows: list[np.ndarray], sizes: np.ndarray, sides: np.ndarray | None, share: int
 ) -> list[tuple[int, int]]:
     """Spanning links of sorted sequences. ``sides``: only pairs of two sides are looked at."""
     tree, root, links = _Tree(rows, sizes), list(range(len(rows))), []
+    # Linked sets have one of their first shingles in common: a set enters the tree there alone.
+    firsts = [max(0, len(r) - _needed(int(n), share) + 1) for r, n in zip(rows, sizes)]
+    doors, door_nodes, door_places = tree.doors(np.array(firsts))
+    _, last, _, depth, smallest, _, deeper = np.array(tree.nodes).reshape(-1, 7)[door_nodes].T
+    room = depth + deeper - door_places  # items from there on
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -403,10 +430,22 @@ def _tree_links(
 
     for i, own in enumerate(rows):
         n = int(sizes[i])
-        stack = [(0, 0)]
+        first = own[: firsts[i]]
+        starts, ends = np.searchsorted(doors, first), np.searchsorted(doors, first, side="right")
+        count = ends - starts
+        k = np.repeat(np.arange(len(first)), count)
+        at = np.arange(len(k)) + np.repeat(starts - (np.cumsum(count) - count), count)
+        least = np.maximum(smallest[at], _needed(n, share))
+        enough = np.minimum(len(own) - k, room[at]) * (100 + share) >= share * (n + least)
+        stack = []
+        for k, d in zip(*(x[enough & (last[at] > i + 1)].tolist() for x in (k, at))):
+            path = rows[tree.nodes[door_nodes[d]][0]][: door_places[d]]
+            # Paths that hold an earlier shingle of the set were entered there.
+            if not k or not len(path) or not _common(first[:k], path):
+                stack.append((int(door_nodes[d]), 0, int(door_places[d])))
         while stack:
-            at, shared = stack.pop()
-            lo, hi, begin, end, least, most, below = tree.nodes[at]
+            at, shared, begin = stack.pop()
+            lo, hi, _, end, least, most, below = tree.nodes[at]
             if hi <= i + 1:
                 continue
             if hi - lo == 1 and (find(lo) == find(i) or sides is not None and sides[lo] == sides[i]):
@@ -417,13 +456,10 @@ def _tree_links(
                 continue
             need = -(-share * (n + least) // (100 + share))
             part = rows[lo][begin:end]
-            passed = 0
+            left = len(own)
             if len(part):
-                where = np.searchsorted(own, part)
-                where[where == len(own)] = len(own) - 1
-                shared += int((own[where] == part).sum())
-                passed = int(np.searchsorted(own, part[-1], side="right"))
-            left = len(own) - passed if len(part) else len(own)
+                shared += _common(part, own)
+                left -= int(np.searchsorted(own, part[-1], side="right"))
             if shared + min(left, below) < need:
                 continue
             if hi - lo == 1:
@@ -432,7 +468,7 @@ def _tree_links(
                     root[a] = b
                     links.append((i, lo))
                 continue
-            stack += [(child, shared) for child in tree.children[at]]
+            stack += [(child, shared, tree.nodes[child][2]) for child in tree.children[at]]
     return links
 
 
