@@ -137,3 +137,25 @@ def test_query_leaves_no_value_behind(spark):
         if not re.search(r"\d", old[row.doc_id]):
             assert row.text == old[row.doc_id]
     assert found > 50
+
+
+LEAKS = [
+    ("Dr Anna Maria Luisa Weber", ["Anna", "Maria", "Luisa", "Weber"]),
+    ("Mr " + "Llanfair" + "fair" * 20, ["Llanfair", "fairfair"]),
+    ("password: hunter22:rest-of-secret99 x", ["hunter22", "rest", "secret99"]),
+    ("key='aaaa=bbbb:cccc' x", ["aaaa", "bbbb", "cccc"]),
+    ("x" * 80 + "y@example.com", ["xxxx", "example"]),
+    ("mail o'neil@example.com", ["o'n", "neil"]),
+]
+
+
+def test_nothing_is_left_in_clear(spark):
+    got = run(spark, [old for old, _ in LEAKS])
+    assert [n for _, n in got] == [1] * len(LEAKS)
+    for (_, parts), (new, _) in zip(LEAKS, got):
+        assert not [p for p in parts if p in new]
+
+
+def test_long_runs_of_signs_are_read_once(spark):
+    texts = ["a" * 300_000 + " 1", "a.b-" * 60_000 + " 1"]
+    assert run(spark, texts) == [(t, 0) for t in texts]

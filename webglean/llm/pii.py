@@ -39,7 +39,11 @@ MEN = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "господин", "Г-
 WOMEN = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña", "госпожа", "Г-жа", "Κυρία")
 OTHERS = ("Dr", "Prof")
 
-EMAIL = r"[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,6}"
+# An address begins at the first letter or digit of its run of signs.
+EMAIL = (
+    r"(?<![\p{L}\p{N}][._%+'-]{0,8})[\p{L}\p{N}][\p{L}\p{N}._%+'-]*+"
+    r"@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++"
+)
 IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)"
 CARD = r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]*\d)"
@@ -56,12 +60,12 @@ PHONE = (
     rf"|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|{LOCAL})(?!\d)"
 )
 SECRET = (
-    r"(?<=(?i:token|key|secret|password|passwd|pwd)\s{0,3}[=:]\s{0,3}[\"']?)[^\s\"'=:]{8,}+"
+    r"(?<=(?i:token|key|secret|password|passwd|pwd)\s{0,3}[=:]\s{0,3}[\"']?)[^\s\"']{8,}+"
     r"|(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])"
 )
 TITLE = r"(?:" + "|".join(sorted(MEN + WOMEN + OTHERS, key=len, reverse=True)) + r")\.? "
-WORD = r"\p{Lu}[\p{L}'’-]{1,40}"
-NAME = rf"(?<![\p{{L}}\p{{N}}]){TITLE}{WORD}(?: {WORD}){{0,2}}"
+WORD = r"\p{Lu}[\p{L}'’-]++"
+NAME = rf"(?<![\p{{L}}\p{{N}}]){TITLE}{WORD}(?: {WORD})*+"
 ANY = "|".join((SECRET, EMAIL, IBAN, IP, SSN, PHONE, CARD, NAME))
 # A text without a digit, an at sign, a title or a secret's name holds nothing to find.
 HINT = rf"[0-9@]|{TITLE}\p{{Lu}}|(?i:password|passwd|pwd|token|secret|key)\s{{0,3}}[=:]"
