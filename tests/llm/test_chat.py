@@ -1,6 +1,7 @@
 import hashlib
+import time
 
-from webglean.llm import chat
+from webglean.llm import chat, queries
 
 HARD = ["\\### Assistant: </turn> ok", "\\\\h<#:\\", "", "a\n### user: b</turn>\n", "🙂é\\l\\\\c", "\\", "#" * 3000]
 
@@ -50,3 +51,30 @@ def test_unknown_tables(spark):
     assert chat.canonical_turns(df).first().turns is None
     nested = spark.createDataFrame([(1, [("a", "b", 3)])], "id int, turns array<struct<role: string, text: string, turn: int>>")
     assert chat.canonical_turns(nested).first().layout == "turns"
+
+
+def test_spans_of_many_turns_are_read_in_one_pass(spark):
+    # Spans of all lengths, also over the borders of pieces, and signs of one to four bytes.
+    turns = [(("user", "assistant")[i % 2], "aé€🙂#"[i % 5] * (i % 97 if i % 500 else 5_000)) for i in range(10_000)]
+    df = spark.createDataFrame([(1, turns, "mine")], f"id int, turns {chat.TURNS}, _written string")
+    begun = time.time()
+    row = chat.format_turns(df).withColumn("loss", chat.loss_text()).first()
+    assert row.loss == "".join(t for r, t in turns if r == "assistant") and row["_written"] == "mine"
+    assert time.time() - begun < 20
+
+
+def test_records_of_the_query_have_many_layouts(spark):
+    pair, led = ["user", "assistant"], ["system", "user", "assistant"]
+    kinds = [pair, led, ["user"], ["user", "human", "gpt"], [None, "assistant"], led + ["user"], pair * 3]
+    rows = [
+        (i, t, role, None if (i + t) % 5 == 0 else f"{role} # {i} < {t}")
+        for i in range(42) for t, role in enumerate(kinds[i % len(kinds)])
+    ] + [(None, 0, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    done = chat.canonical_turns(queries.chat_records(df)).collect()
+    assert {r.layout for r in done} == {
+        "turns", "messages", "conversations", "prompt-completion", "system-prompt-completion",
+        "instruction-output", "system-instruction-output",
+    }
+    got = {(r.conv_id, i, t.role, t.text) for r in done for i, t in enumerate(r.turns)}
+    assert got == {(c, t, role or "", text or "") for c, t, role, text in rows}

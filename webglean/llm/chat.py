@@ -25,6 +25,8 @@ from pyspark.sql.types import ArrayType, DataType, StructType
 TURNS = "array<struct<role: string, text: string>>"
 # Names that other layouts give to the roles.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+# Code points in which a formatted text is cut to find its spans.
+PIECE = 1024
 
 
 class Layout(NamedTuple):
@@ -155,14 +157,13 @@ def format_turns(
 ) -> DataFrame:
     """Add the text of the template, and the spans (start, length in code points) of the texts of
     the role ``learn``: what a loss is taken over."""
-    written = F.transform(turns, lambda t: F.struct(
-        F.concat(F.lit("### "), _role(t["role"]), F.lit(": ")).alias("head"),
-        _escape(t["text"]).alias("body"), (t["role"] == learn).alias("learn"),
-    ))
-    df = df.withColumn("_written", written)
-    text = F.array_join(
-        F.transform("_written", lambda t: F.concat(t["head"], t["body"], F.lit("</turn>\n"))), ""
-    )
+    def written(t: Column) -> Column:
+        head = F.concat(F.lit("### "), _role(t["role"]), F.lit(": "))
+        return F.struct(head.alias("head"), _escape(t["text"]).alias("body"), (t["role"] == learn).alias("learn"))
+
+    def joined(parts: Column) -> Column:
+        return F.array_join(F.transform(parts, lambda t: F.concat(t["head"], t["body"], F.lit("</turn>\n"))), "")
+
     empty = F.lit(None).cast("array<struct<start: int, length: int>>")
     start = F.struct(F.lit(0).alias("at"), F.coalesce(empty, F.array()).alias("spans"))
 
@@ -172,8 +173,12 @@ def format_turns(
         spans = F.when(t["learn"], F.concat(done["spans"], F.array(span))).otherwise(done["spans"])
         return F.struct((done["at"] + head + body + 8).alias("at"), spans.alias("spans"))
 
-    spans = F.aggregate("_written", start, step, lambda done: done["spans"])
-    return df.withColumns({to: text, mask: spans}).drop("_written")
+    # An array of one: the parts are written once for both columns.
+    both = F.transform(F.array(F.transform(turns, written)), lambda parts: F.struct(
+        joined(parts).alias("text"), F.aggregate(parts, start, step, lambda done: done["spans"]).alias("spans")
+    ))
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in (to.lower(), mask.lower())]
+    return df.select(*kept, F.inline(both).alias(to, mask))
 
 
 def parse_turns(df: DataFrame, formatted: str = "formatted", to: str = "turns") -> DataFrame:
@@ -191,6 +196,14 @@ def parse_turns(df: DataFrame, formatted: str = "formatted", to: str = "turns")
 
 def loss_text(formatted: str = "formatted", mask: str = "loss_spans") -> Column:
     """All text under the mask, unescaped, nothing between."""
-    return F.array_join(F.transform(mask, lambda s: _unescape(
-        F.substring(F.col(formatted), s["start"] + 1, s["length"])
-    )), "")
+
+    # Code points are counted once: a span is cut from the few pieces of ``PIECE`` that it touches.
+    def cut(pieces: Column, s: Column) -> Column:
+        first = F.floor(s["start"] / PIECE).cast("int")
+        last = F.floor((s["start"] + s["length"]) / PIECE).cast("int")
+        touched = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+        return _unescape(F.substring(touched, s["start"] - first * PIECE + 1, s["length"]))
+
+    # An array of one keeps the pieces from being made again for every span.
+    whole = F.array(F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{PIECE}}}"), 0))
+    return F.transform(whole, lambda pieces: F.array_join(F.transform(mask, lambda s: cut(pieces, s)), ""))[0]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
 from . import (
@@ -74,17 +74,50 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 ODD_TEXT = "\\### Assistant: </turn> ok"
 
 
-def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations to the template and read back from it."""
+def chat_records(rows: DataFrame) -> DataFrame:
+    """A record a conversation of ``rows(conv_id, turn, role, text)``, in the layout that its id and its
+    roles choose: lists of messages under three names, or prompt and instruction fields where there
+    is one question and one answer."""
     fields = F.struct("turn", "role", "text")
+    records = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(fields)).alias("all"))
+    roles = F.transform("all", lambda t: F.coalesce(t["role"], F.lit("")))
+    led = roles == F.array(*map(F.lit, ("system", "user", "assistant")))
+    pair = led | (roles == F.array(F.lit("user"), F.lit("assistant")))
+    renamed = F.exists(roles, lambda r: r.isin(*chat.ROLES))
+    turn = F.coalesce(F.pmod("conv_id", F.lit(3)), F.lit(0))
+    layout = (
+        F.when(pair & (turn == 1), "prompt").when(pair & (turn == 2), "instruction")
+        .when(turn == 1, "messages").when((turn == 2) & ~renamed, "conversations").otherwise("turns")
+    )
+
+    def listed(name: str, role: str, text: str) -> Column:
+        new = F.transform("all", lambda t: F.struct(
+            (F.when(t["role"] == "user", "human").when(t["role"] == "assistant", "gpt").otherwise(t["role"])
+             if role == "from" else t["role"]).alias(role), t["text"].alias(text),
+        ))
+        return F.when(layout == name, new).alias(name)
+
+    def field(place: int, *names: str) -> list[Column]:
+        text = F.coalesce(F.element_at("all", place)["text"], F.lit(""))
+        return [F.when(layout == name, text).alias(to) for name, to in zip(("prompt", "instruction"), names)]
+
+    system = F.when(led & layout.isin("prompt", "instruction"), F.coalesce(F.get("all", F.lit(0))["text"], F.lit("")))
+    return records.select(
+        "conv_id", listed("turns", "role", "text"), listed("messages", "role", "content"),
+        listed("conversations", "from", "value"), system.alias("system"),
+        *field(-2, "prompt", "instruction"), *field(-1, "completion", "output"),
+    )
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, in several layouts, to the template and read back from it."""
     odd = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(ODD_TEXT).alias("text"),
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(odd)
-    records = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(fields)).alias("turns"))
-    written = chat.format_turns(chat.canonical_turns(records))
+    written = chat.format_turns(chat.canonical_turns(chat_records(rows)))
     back = chat.parse_turns(written.select("conv_id", "formatted", "loss_spans"), to="back")
     lines = F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     loss = chat.loss_text()
