@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import regex
+from pyspark.sql import functions as F
 
 from webglean.llm import decontam, queries
 
@@ -42,14 +43,18 @@ def brute(docs, items):
                 continue
             covered = set()
             for shift in range(-len(known), len(own)):
-                at, slots = set(), defaultdict(set)
+                same, at, slots = set(), set(), defaultdict(set)
                 for i in telling:
                     part = own[i + shift : i + shift + W] if i + shift >= 0 else []
                     if list(map(canonical, part)) == list(map(canonical, known[i : i + W])):
+                        if part == known[i : i + W]:
+                            same.add(i)
+                            continue
                         at.add(i)
                         for old, new in zip(known[i : i + W], part):
                             if slot(old):
                                 slots[old].add(new)
+                covered |= same
                 if all(len(v) == 1 for v in slots.values()):
                     covered |= at
             if len(covered) >= decontam.SHARE * len(telling):
@@ -65,7 +70,9 @@ ITEMS = [
 DOCS = [
     (1, "Before it. " + ITEM + " After it."),
     (2, ITEM.replace("Tom", "Eve").replace("12", "99").replace("km", "miles")),
-    (3, ITEM.replace("12 go", "13 go")),  # one slot, two values
+    (3, ITEM.replace("12 go", "13 go")),  # one of two mentions changed
+    (14, ITEM.replace("12 go", "13 go").replace("12 apples", "14 apples")),  # one slot, two new values
+    (15, ITEM.replace("12 go", "13 go").replace("sells 12", "sells 14").replace("Tom keep", "Ann keep")),
     (4, ITEM[:60]), (5, "Short ONE!"), (6, "a short one here"), (7, "7, 8, 9, 10, 11, 12, 13"),
     (8, "1 2 3 4 5 6 7"), (9, None), (10, ""), (11, "the cat sat on the mat"),
     (12, "word " * 30_000 + "the cat sat on the mat near the door of the house"), (None, ITEM),
@@ -74,22 +81,22 @@ DOCS = [
 
 
 def test_like_brute_force(spark):
-    docs = spark.createDataFrame([(k, t, 1) for k, t in DOCS], "doc_id long, text string, covered int")
+    docs = spark.createDataFrame([(k, t, 1) for k, t in DOCS], "doc_id long, text string, covered int").withColumn("_id", F.lit("mine"))
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = {(r.id, r.item) for r in decontam.matches(docs, bench).collect()}
     assert got == brute([d for d in DOCS if len(d[1] or "") < 10_000], ITEMS) | {(12, 7)}
-    assert {d for d, _ in got} == {1, 2, 5, 7, 12, None, 13}
+    assert {d for d, _ in got} == {1, 2, 3, 5, 7, 12, None, 13}
     flagged = decontam.flag(docs, bench)
     assert sorted(flagged.columns) == sorted(
-        ["doc_id", "text", "covered", "contaminated", "n_items", "item_id", "changed"]
+        ["doc_id", "text", "_id", "covered", "contaminated", "n_items", "item_id", "changed"]
     )
     rows = flagged.collect()
     assert len(rows) == len(DOCS)
-    assert {r.doc_id for r in rows if r.changed} == {2}
+    assert {r.doc_id for r in rows if r.changed} == {2, 3}
     kept = decontam.decontaminate(docs, bench)
     assert kept.columns == docs.columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter(
-        d for d, _ in DOCS if d not in {1, 2, 5, 7, 12, None, 13}
+        d for d, _ in DOCS if d not in {1, 2, 3, 5, 7, 12, None, 13}
     )
 
 

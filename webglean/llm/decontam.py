@@ -2,9 +2,10 @@ r"""Benchmark decontamination by template canonicalisation.
 
 Numbers, names inside a sentence and units behind a number become typed placeholders; windows of
 ``WINDOW`` canonical words of the documents are hash-joined with those of the benchmark items. The
-matches of a document and an item on one alignment must be consistent: a slot value of the item
-stands for one value of the document throughout. A document is contaminated if consistent matches
-cover at least ``SHARE`` of an item's windows, so a copied question is found, and a question that
+matches of a document and an item on one alignment must be consistent: in the windows with changed
+slots, a slot value of the item stands for one value of the document throughout; else these windows
+don't count. Windows that match word for word always do. A document is contaminated if what counts
+covers at least ``SHARE`` of an item's windows, so a copied question is found, and a question that
 was given other numbers or names, too; a phrase in common is not enough.
 
 Windows with fewer than ``LITERAL`` words that are no placeholders tell nothing and don't count. Items
@@ -102,25 +103,31 @@ def matches(
     wholes = items.join(sizes, "item", "left_anti").select("item", "whole")
 
     read = _read(docs, key, text)
-    found = read.select("id", "words", F.posexplode_outer("windows").alias("place", "window"))
+    # A row carries the words of its window only.
+    found = read.select("id", "words", F.posexplode_outer("windows").alias("place", "window")).withColumn(
+        "own", F.slice("words", F.col("place") + 1, WINDOW)
+    ).drop("words")
     small = is_small(telling, BROADCAST_ROWS)
     hits = found.join(F.broadcast(telling) if small else telling, "window").select(
         "id", "item", "at", "windows", (F.col("place") - F.col("at")).alias("shift"),
-        F.filter(
-            F.zip_with("part", F.slice("words", F.col("place") + 1, WINDOW), lambda old, new: F.when(
+        F.array_distinct(F.filter(
+            F.zip_with("part", "own", lambda old, new: F.when(
                 _slot(old), F.struct(old.alias("old"), new.alias("new"))
             )), lambda s: s.isNotNull(),
-        ).alias("slots"),
-    )
+        )).alias("slots"),
+    ).withColumn("edited", F.exists("slots", lambda s: s["old"] != s["new"]))
     aligned = hits.groupBy("id", "item", "shift").agg(
-        F.collect_set("at").alias("at"), F.max("windows").alias("windows"),
+        F.collect_set(F.when(~F.col("edited"), F.col("at"))).alias("same"),
+        F.collect_set(F.when(F.col("edited"), F.col("at"))).alias("other"),
+        F.max("windows").alias("windows"),
         # Distinct slots of an item at most: equal rows add nothing.
-        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
-    ).filter(F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["old"]))))
+        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("edited"), F.col("slots"))))).alias("slots"),
+    ).withColumn("other", F.when(
+        F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["old"]))), F.col("other")
+    ).otherwise(F.array().cast("array<int>")))
     covered = aligned.groupBy("id", "item").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n"),
-        F.max("windows").alias("windows"),
-        F.max(F.exists("slots", lambda s: s["old"] != s["new"])).alias("changed"),
+        F.size(F.array_distinct(F.flatten(F.collect_list(F.concat("same", "other"))))).alias("n"),
+        F.max("windows").alias("windows"), F.max(F.size("other") > 0).alias("changed"),
     ).withColumn("covered", F.col("n") / F.col("windows")).filter(F.col("covered") >= share)
     covered = covered.select("id", "item", "covered", "changed")
     wholes = F.broadcast(wholes) if is_small(wholes, BROADCAST_ROWS) else wholes
@@ -140,12 +147,15 @@ def flag(
         F.count_distinct("item").alias("n_items"), F.min("item").alias("item_id"),
         F.max("covered").alias("covered"), F.max("changed").alias("changed"),
     )
-    found = found.select(F.col("id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in found.columns[1:]])
-    rows = docs.join(found, docs[key].eqNullSafe(found["_id"]), "left")
-    return rows.withColumns({
-        "contaminated": F.col("_n_items").isNotNull(), "n_items": F.coalesce("_n_items", F.lit(0)),
-        "item_id": F.col("_item_id"), "covered": F.col("_covered"), "changed": F.col("_changed"),
-    }).drop(*found.columns)
+    # Rows travel in a struct, so no name of theirs can clash.
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.struct("*").alias("row"))
+    joined = rows.join(found, rows["key"].eqNullSafe(found["id"]), "left")
+    new = {
+        "contaminated": F.col("n_items").isNotNull(), "n_items": F.coalesce("n_items", F.lit(0)),
+        "item_id": F.col("item_id"), "covered": F.col("covered"), "changed": F.col("changed"),
+    }
+    kept = {c: F.col("row").getField(c) for c in docs.columns if c.lower() not in new}
+    return joined.select(*[column.alias(c) for c, column in {**kept, **new}.items()])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **names) -> DataFrame:
