@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from webglean.operators import scan
 from webglean.operators.scan import numbered
 
 
@@ -21,3 +22,15 @@ def test_no_rows_and_equal_rows(spark):
     assert numbered(empty, ["a"], "n").collect() == []
     equal = spark.createDataFrame([(1,)] * 300, "a int")
     assert sorted(r.n for r in numbered(equal, ["a"], "n").collect()) == list(range(1, 301))
+
+
+def test_blocks_stay_few_where_they_would_be_short(spark):
+    df = spark.range(3000).select((F.col("id") % 2).alias("key"), F.col("id").alias("seq"))
+    few = scan.BLOCKS_PER_CORE * spark.sparkContext.defaultParallelism
+    split = scan.split_hot(df, ["key"], 1)
+    assert split.blocks == few
+    assert scan.split_hot(df, ["key"], 1000).blocks == 3
+    blocked = scan.ordered_blocks(split.hot, ["key"], ["seq"], split.blocks)
+    assert blocked.count() == 3000
+    # Every key is still cut.
+    assert all(r["n"] > 1 for r in blocked.groupBy("key").agg(F.count_distinct("_block").alias("n")).collect())

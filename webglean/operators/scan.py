@@ -14,6 +14,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage
 
+# Rows of a block that are worth a task and a file of their own. Shorter blocks are only made while they
+# are few: so many for each core.
+BLOCK_ROWS = 200_000
+BLOCKS_PER_CORE = 4
+
 _PLACE, _PART, _BASE = "__place__", "__part__", "__base__"
 
 
@@ -28,18 +33,23 @@ def same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 
 def split_hot(df: DataFrame, keys: list[str], hot_rows: int) -> HotSplit:
-    """Rows of keys with more than ``hot_rows`` rows apart from the rest. Runs one counting job."""
+    """Rows of keys with more than ``hot_rows`` rows apart from the rest. Runs one counting job.
+
+    ``blocks`` is the number of blocks of ``hot_rows`` rows. Where these are so short that tasks and files
+    would take longer than the rows in them, it is that of longer ones.
+    """
     hot_keys = df.groupBy(*keys).count().filter(F.col("count") > hot_rows)
     total = hot_keys.agg(F.sum("count")).first()[0]
     if total is None:
         return HotSplit(df, None, 0)
     # At most (all rows / hot_rows) keys can be hot, so this side is small by construction.
     listed = F.broadcast(hot_keys.select(*keys))
+    few = BLOCKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
     matches = same_key(df, listed, keys)
     return HotSplit(
         df.join(listed, matches, "left_anti"),
         df.join(listed, matches, "left_semi"),
-        -(-total // hot_rows),
+        min(-(-total // hot_rows), max(-(-total // BLOCK_ROWS), few)),
     )
 
 

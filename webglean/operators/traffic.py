@@ -11,7 +11,7 @@ from .scan import ordered_blocks, split_hot
 # Fixed value: the default bound on calls in flight.
 DEFAULT_CONCURRENCY = 10
 
-# Rows of one key that a single task may scan.
+# Rows of one key that a single task may scan; a smaller number holds up to ``scan.BLOCK_ROWS``.
 HOT_ROWS = 5_000_000
 
 
