@@ -82,3 +82,16 @@ def test_ascii_texts_are_cut_alike():
         text = "".join(draw.choice([chr(draw.randrange(128)), " ", "a", "'s", "9", "\n", "\x1c"]) for _ in range(24))
         assert words.cut_ascii(text) == words.cut(text)
     assert token_files._ascii_cut(r"\p{Lu}+| +") is None and token_files._ascii_cut(r"\w+") is None
+
+
+def test_texts_with_accents_are_cut_by_the_standard_library():
+    words = token_files._Vocabulary(PATH, public_tokenizers.PATTERN)
+    signs = [chr(c) for c in range(token_files.PLAIN)]
+    texts = ["".join(signs), " ".join(signs), "x".join(signs), "l’été  à  Ærø ½ ² naïve's\u0085", "Привет, мир 12"]
+    assert all(words.is_plain(text) and words.cut_ascii(text) == words.cut(text) for text in texts)
+    # A sign beyond leaves the text to the other library.
+    assert not words.is_plain("é　") and not words.is_plain("é😀")
+    asked = []
+    words.cut = lambda text: asked.append(text) or [text]
+    words.encode(texts + ["é😀"])
+    assert asked == ["é😀"]
