@@ -48,6 +48,7 @@ def research_report(
             articles = extract_articles(
                 urls, responses, robots, user_agent, max_bytes, max_chars, mode=mode
             )
-    sources = research(hits, articles, fetch_full)
+    # Read by the report and by its summary. Written once, so the pages are read once.
+    sources = cut_lineage(research(hits, articles, fetch_full))
     asked = checked.select(F.col("query_idx").alias("topic"))
     return ResearchReport(research_summary(asked, sources), sources)
