@@ -50,6 +50,9 @@ def hide_people(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, with digests of the ids and of what they decode to."""
     ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), MULTI_RANKS, public_tokenizers.PATTERN)
+    # Written: in one plan every task would hold two Python workers at a time, and each of them, as workers
+    # change places, in the end what encoding remembers.
+    ids = cut_lineage(ids.drop("text"))
     return bpe.decode(ids, MULTI_RANKS).select(
         "doc_id", "lang", "source", "n_tokens", "token_ids",
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -1,3 +1,4 @@
+import hashlib
 import re
 
 import corpus_pipeline
@@ -75,6 +76,13 @@ def test_run_gives_the_last_stage(spark, tables):
     assert sorted(map(str, got.collect())) == sorted(map(str, tables[NAMES[-1]].collect()))
 
 
+def test_a_task_holds_one_python_worker_at_a_time(spark):
+    docs = spark.createDataFrame([(1, "a b", "en", "web")], "doc_id long, text string, lang string, source string")
+    got = corpus_pipeline.tokenise(spark, docs, SF_DIR)
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [(r.doc_id, r.decoded_sha256) for r in got.collect()] == [(1, hashlib.sha256(b"a b").hexdigest())]
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_odd_rows_of_a_stage(spark, name, stage):
     docs = spark.createDataFrame(
